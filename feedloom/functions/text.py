@@ -16,6 +16,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Unicode whitespace, spelled out so that Java and RE2 agree on it.
 WS = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+WS_CHARS = (
+    " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 # Word edges for Unicode text; \b is ASCII-only or inconsistent between engines.
 WORD = r"[\p{L}\p{N}_]"
 EDGE_BEFORE = rf"(?<!{WORD})"
@@ -30,7 +34,8 @@ def as_col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(as_col(c), rf"^{WS}+|{WS}+\z", "")
+    """Whitespace removed at both ends; looks at the ends only, whatever the length of the text."""
+    return F.trim(as_col(c), F.lit(WS_CHARS))
 
 
 def blank_to_null(c: Column | str) -> Column:

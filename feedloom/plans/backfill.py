@@ -192,10 +192,13 @@ def plan_topics(plan: DataFrame, reclassify: bool = False, compat: bool = False)
     abstract = F.coalesce(
         F.nullif(F.col("new_abstract_en"), F.lit("")), blank_to_null("abstract_en"), blank_to_null("abstract_cn")
     )
-    tag = primary_topic(tagging_text(title, abstract))
     needed = F.lit(True) if reclassify else current.isNull()
-    different = F.lit(True) if compat else changed(F.array(tag), decode_tags("topic_tag"))
-    return plan.withColumn("new_topic_tag", F.when(needed & different, tag))
+    # The text of rows that keep their tag is NULL, so the rules run on the others only.
+    tagged = plan.withColumn("_text", F.when(needed, tagging_text(title, abstract))).withColumn(
+        "_tag", F.when(F.col("_text").isNotNull(), primary_topic(F.col("_text")))
+    )
+    different = F.lit(True) if compat else changed(F.array("_tag"), decode_tags("topic_tag"))
+    return tagged.withColumn("new_topic_tag", F.when(different, F.col("_tag"))).drop("_text", "_tag")
 
 
 def plan_backfill(

@@ -81,7 +81,7 @@ SELECT 'https://feeds.example.org/u' || CAST(user_id AS STRING) AS feed_url,
 FROM events WHERE event_type = 'signup' GROUP BY user_id""",
     # A retry table from before those attempts.
     "pending_v": """
-SELECT 'id:u' || CAST(user_id AS STRING) || 'h' || CAST(hour(ts) AS STRING) AS uid,
+SELECT 'id:u' || CAST(user_id AS STRING) || 'h' || CAST((hour(ts) + 1) % 24 AS STRING) AS uid,
        CAST(NULL AS STRING) AS feed_url, 'https://old.example.org' AS article_url, CAST(NULL AS STRING) AS doi,
        CAST(NULL AS STRING) AS pub_date, count(*) AS fail_count, 'old ' || min(props) AS last_error,
        min(ts) AS first_seen_at, min(ts) AS last_attempt_at
