@@ -26,7 +26,9 @@ LETTER = "letter to the editor"
 
 _LD_SCRIPT = r"(?is)<script\b[^>]*\btype\s*=\s*[\"']?application/ld\+json[\"']?(?:\s[^>]*)?>(.*?)</script"
 _META_TAG = r"(?is)<meta\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
-_ATTRIBUTE = r"(?s)([A-Za-z_:][-\w:.]*)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+_ATTRIBUTE = r"(?s)[A-Za-z_:][-\w:.]*\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+# What a page must contain for a preferred abstract block to exist; only such pages are worth a document tree.
+_BLOCK_HINT = r"(?s)\b(?:id|class)\s*=[^<]*?(?:[aA]bstract|Abs1)"
 
 
 # ---- JSON-LD ---------------------------------------------------------------------------------------------
@@ -121,18 +123,20 @@ def without_scripts(html: Column) -> Column:
 
 def meta_tags(html: Column) -> Column:
     """All meta tags as structs of name, property and content (still entity-encoded)."""
-    def attributes(tag: Column) -> Column:
-        names = F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(1))
-        values = F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(2))
-        pairs = F.zip_with(names, values, lambda n, v: F.struct(F.lower(n).alias("k"), v.alias("v")))
-
-        def value(key: str) -> Column:
-            found = F.get(F.filter(pairs, lambda p: p["k"] == key), F.lit(0))["v"]
-            return F.regexp_replace(found, r"(?s)^([\"'])(.*)\1\z", "$2").alias(key)
+    def attribute(text: Column) -> Column:
+        value = F.ltrim(F.substr(text, F.instr(text, "=") + 1))
+        quoted = value.startswith('"') | value.startswith("'")
+        return F.struct(
+            F.lower(F.regexp_extract(text, r"^[^\s=]+", 0)).alias("k"),
+            F.when(quoted, F.substr(value, F.lit(2), F.length(value) - 2)).otherwise(value).alias("v"),
+        )
 
-        return F.struct(value("name"), value("property"), value("content"))
+    def value(pairs: Column, key: str) -> Column:
+        return F.get(F.filter(pairs, lambda p: p["k"] == key), F.lit(0))["v"].alias(key)
 
-    return F.transform(F.regexp_extract_all(html, F.lit(_META_TAG), F.lit(0)), attributes)
+    tags = F.regexp_extract_all(html, F.lit(_META_TAG), F.lit(0))
+    pairs = F.transform(tags, lambda t: F.transform(F.regexp_extract_all(t, F.lit(_ATTRIBUTE), F.lit(0)), attribute))
+    return F.transform(pairs, lambda p: F.struct(*(value(p, k) for k in ("name", "property", "content"))))
 
 
 def meta_content(tags: Column | str, *names: str, attribute: str = "name") -> Column:
@@ -151,7 +155,11 @@ _GENERIC_META = {
     "doi": ("citation_doi",),
     "date_published": ("citation_publication_date",),
     "type": ("citation_article_type",),
+    "description1": ("dc.description",),
+    "description2": ("description",),
+    "twitter": ("twitter:description",),
 }
+_META_FIELDS = ("journal", "title", "doi", "date_published", "type")
 
 
 def extract_records(
@@ -172,6 +180,11 @@ def extract_records(
         "_metas", meta_tags(without_scripts(F.col("_visible")))
     )
     picked = scanned.withColumn("_article", pick_article(ld_objects(F.col("_ld"))))
+    # Plain columns, not structs: Spark would inline the fields of a struct into every use of them.
+    ld = {f"j_{f}": c for f, c in ld_fields(F.col("_article")).items()}
+    metas = {f"m_{f}": meta_content("_metas", *names) for f, names in _GENERIC_META.items()}
+    metas |= {f: meta_content("_metas", *names) for f, names in _PUBLISHER_META.items()}
+    metas["m_og"] = meta_content("_metas", "og:description", attribute="property")
     raw = picked.select(
         *keep,
         html,
@@ -179,26 +192,18 @@ def extract_records(
         host_in(url, publisher_suffix, compat).alias("_own_layout"),
         ld_text(F.col("_ld")).alias("_ld_text"),
         F.col("_article").isNotNull().alias("_has_article"),
-        F.struct(*(c.alias(n) for n, c in ld_fields(F.col("_article")).items())).alias("_j"),
-        F.struct(
-            *(meta_content("_metas", *names).alias(f) for f, names in _GENERIC_META.items()),
-            *_publisher_meta("_metas"),
-            meta_content("_metas", "dc.description").alias("description1"),
-            meta_content("_metas", "description").alias("description2"),
-            meta_content("_metas", "og:description", attribute="property").alias("og"),
-            meta_content("_metas", "twitter:description").alias("twitter"),
-        ).alias("_m"),
+        *(c.alias(n) for n, c in {**ld, **metas}.items()),
     )
     # One Arrow pass decodes the few texts with unusual entities and walks the few pages that need a tree.
-    described = first_filled("_j.abstract", strip("_m.description1"), strip("_m.description2"))
+    described = F.coalesce("j_abstract", "m_description1", "m_description2")
+    wants_block = described.isNull() & F.col(html).rlike(_BLOCK_HINT)
     decoded = raw.select(
         *keep,
         "_url", "_own_layout", "_ld_text", "_has_article",
-        *(clean_text(f"_j.{f}").alias(f"j_{f}") for f in ("title", "abstract", "date_published", "journal", "type", "doi")),
-        *(clean_text(f"_m.{f}", decode=2).alias(f"m_{f}") for f in (*_GENERIC_META, "description1", "description2", "og", "twitter")),
-        *(strip(unescape(f"_m.{f}")).alias(f) for f in _PUBLISHER_META),
-        strip(unescape(first_filled("_m.description1", "_m.description2"))).alias("p_abstract"),
-        abstract_block_udf(F.when(described.isNull(), F.col(html))).alias("block"),
+        *(clean_text(f).alias(f) for f in ld),
+        *(clean_text(f, decode=2).alias(f) for f in metas if f.startswith("m_")),
+        *(strip(unescape(f)).alias(f) for f in metas if f.startswith("p_")),
+        abstract_block_udf(F.when(wants_block, F.col(html))).alias("block"),
         publisher_parts_udf(F.when(F.col("_own_layout"), F.col(html))).alias("_parts"),
     )
     generic, own = _generic_record(compat), _publisher_record()
@@ -210,7 +215,7 @@ def extract_records(
 
 def _generic_record(compat: bool) -> dict[str, Column]:
     record = {}
-    for field in _GENERIC_META:
+    for field in _META_FIELDS:
         from_ld, from_meta = F.col(f"j_{field}"), F.nullif(F.col(f"m_{field}"), F.lit(""))
         record[field] = (
             F.when(F.col("_has_article"), from_ld).otherwise(from_meta) if compat else first_filled(from_ld, from_meta)
@@ -228,13 +233,10 @@ _PUBLISHER_META = {
     "p_identifier": ("dc.identifier",),
     "p_day": ("citation_online_date",),
     "p_type": ("citation_article_type",),
+    "p_abstract": ("dc.description", "description"),
 }
 
 
-def _publisher_meta(tags: str) -> list[Column]:
-    return [meta_content(tags, *names).alias(f) for f, names in _PUBLISHER_META.items()]
-
-
 def _publisher_record() -> dict[str, Column]:
     identifier = F.when(F.col("p_identifier").rlike(r"\b10\.[0-9]{4,9}/\S+\b"), F.col("p_identifier"))
     described = F.nullif(F.col("p_abstract"), F.lit(""))

@@ -15,7 +15,7 @@ from feedloom.functions.topics import decode_tags, primary_topic, tagging_text
 from feedloom.operators.ranking import rank_within
 from feedloom.operators.skew import heavy_keys, salted_join
 from feedloom.schemas import PLAN_COLUMNS
-from feedloom.session import broadcast_if_small
+from feedloom.session import broadcast_if_small, stage
 
 BATCH_SIZE = 20
 META_COLUMNS = ("type", "journal", "pub_date", "abstract_en")
@@ -209,10 +209,14 @@ def plan_backfill(
     doi_mode: bool = False,
     compat: bool = False,
 ) -> DataFrame:
-    """All changes of all candidates, one row each. DOI mode rebuilds: retag and retranslate everything."""
+    """All changes of all candidates, one row each. DOI mode rebuilds: retag and retranslate everything.
+
+    The plan is written down: summary, counts and the update read it, and a filter on a planned value must not
+    make Spark compute that value twice.
+    """
     plan = translation_sources(plan_metadata(candidates, probes), force=doi_mode)
     plan = add_translations(plan, translations) if translations is not None else without_translations(plan)
-    return plan_topics(plan, reclassify or doi_mode, compat)
+    return stage(plan_topics(plan, reclassify or doi_mode, compat), "backfill-plan")
 
 
 def has_change(columns=PLAN_COLUMNS) -> Column:

@@ -62,3 +62,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     Meant for narrow key tables; the count stops at ``max_rows + 1`` rows.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def read_spread(spark: SparkSession, path: str, bytes_per_core: int = 64 << 20) -> DataFrame:
+    """Read a Parquet table for CPU-heavy work such as parsing.
+
+    A small table may sit in one row group and so in one task; it is spread over all cores at a cost bounded by
+    ``bytes_per_core``. A larger one has enough splits and is read as it is, without a shuffle.
+    """
+    sc = spark.sparkContext
+    location = sc._jvm.org.apache.hadoop.fs.Path(path)
+    size = location.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(location).getLength()
+    df = spark.read.parquet(path)
+    return df.repartition(sc.defaultParallelism) if size < sc.defaultParallelism * bytes_per_core else df

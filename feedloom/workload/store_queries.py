@@ -14,7 +14,7 @@ from feedloom.operators.merge import delete_keys, insert_ignore, replace_rows, u
 from feedloom.operators.retries import retry_candidates, update_pending
 from feedloom.plans import backfill
 from feedloom.plans.runs import run_status
-from feedloom.session import fresh_path
+from feedloom.session import fresh_path, stage
 from feedloom.streaming.jobs import ledger_stream, pending_stream
 from feedloom.workload import oracle_text as o
 from feedloom.workload.item_queries import _WINNER_SQL
@@ -165,8 +165,9 @@ def _translations(sources: DataFrame) -> DataFrame:
 
 
 def _plan(spark: SparkSession, sf: str) -> DataFrame:
-    sources = backfill.translation_sources(_meta_plan(spark, sf))
-    return backfill.plan_topics(backfill.add_translations(sources, _translations(sources)))
+    candidates, probes = backfill.range_candidates(view(spark, sf, "articles_v")), view(spark, sf, "reprobe_v")
+    answers = _translations(backfill.translation_sources(backfill.plan_metadata(candidates, probes)))
+    return backfill.plan_backfill(candidates, probes, answers)
 
 
 _META_OUT = ("uid", "new_type", "new_journal", "new_pub_date", "new_abstract_en")
@@ -230,15 +231,19 @@ def backfill_batches(spark, sf):
     return backfill.translation_batches(backfill.translation_sources(_meta_plan(spark, sf)), "title_src")
 
 
+def _retagged(spark: SparkSession, sf: str, reclassify: bool) -> DataFrame:
+    plan = backfill.plan_topics(_meta_plan(spark, sf), reclassify).select("uid", "new_topic_tag")
+    return stage(plan, "retag").filter("new_topic_tag IS NOT NULL")
+
+
 @query("backfill_retag_plan", _plan_sql("SELECT uid, new_topic_tag FROM plan WHERE new_topic_tag IS NOT NULL"))
 def backfill_retag_plan(spark, sf):
-    return backfill.plan_topics(_meta_plan(spark, sf)).filter("new_topic_tag IS NOT NULL").select("uid", "new_topic_tag")
+    return _retagged(spark, sf, False)
 
 
 @query("backfill_reclassify", _plan_sql(f"SELECT uid, tag AS new_topic_tag FROM topical WHERE {o.tags('topic_tag')} <> [tag]"))
 def backfill_reclassify(spark, sf):
-    plan = backfill.plan_topics(_meta_plan(spark, sf), reclassify=True)
-    return plan.filter("new_topic_tag IS NOT NULL").select("uid", "new_topic_tag")
+    return _retagged(spark, sf, True)
 
 
 def _shown(c: str) -> str:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.session import read_spread
+
 VIEWS = {
     # The article table: one article per document, fetched at the time of the event with its number.
     "articles_v": """
@@ -124,8 +126,12 @@ def sql_with(body: str, *names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names) + "\n" + body
 
 
+TEXT_TABLES = ("documents", "pages")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return read_spread(spark, path) if name in TEXT_TABLES else spark.read.parquet(path)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
