@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 # Ship the entity decoder by value, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Unicode whitespace, spelled out so that Java and RE2 agree on it.
-WS = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+# Unicode whitespace in classes on which Java and RE2 agree.
+WS = r"[\p{Z}\t-\r\x1C-\x1F\x85]"
 WS_CHARS = (
     " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
@@ -72,29 +72,46 @@ def truncate(c: Column | str, limit: int, suffix: str = "") -> Column:
     return F.when(F.length(c) > limit, F.concat(F.substr(c, F.lit(1), F.lit(limit)), F.lit(suffix))).otherwise(c)
 
 
-@F.pandas_udf(T.StringType())
-def _decode_once(s: pd.Series) -> pd.Series:
-    return s.map(html.unescape, na_action="ignore")
+def _decode(text: str | None, times: int) -> str | None:
+    for _ in range(times if text is not None else 0):
+        text = html.unescape(text)
+    return text
 
 
-@F.pandas_udf(T.StringType())
-def _decode_twice(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: html.unescape(html.unescape(x)), na_action="ignore")
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _decode_once(lists: pd.Series) -> pd.Series:
+    return lists.map(lambda texts: [_decode(t, 1) for t in texts], na_action="ignore")
 
 
-def unescape(c: Column | str, times: int = 1) -> Column:
-    """HTML entity decoding.
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _decode_twice(lists: pd.Series) -> pd.Series:
+    return lists.map(lambda texts: [_decode(t, 2) for t in texts], na_action="ignore")
 
-    Strings without ``&`` or with only the XML entities stay in the JVM. Others go through one Arrow batch;
-    rows that do not need it travel as NULL.
-    """
-    c = as_col(c)
-    unusual = c.rlike(_PLAIN_AMPERSANDS)
-    native = c
+
+def _decode_plain(c: Column) -> Column:
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
-        native = F.replace(native, F.lit(entity), F.lit(char))
+        c = F.replace(c, F.lit(entity), F.lit(char))
+    return c
+
+
+def unescape_all(texts: Column, times: int = 1) -> Column:
+    """HTML entity decoding of an array of texts.
+
+    Texts without ``&`` or with only the XML entities stay in the JVM. A row with others goes through one Arrow
+    batch; the remaining rows travel as NULL.
+    """
     decoder = {1: _decode_once, 2: _decode_twice}[times]
-    return F.coalesce(decoder(F.when(unusual, c)), native)
+    unusual = F.exists(texts, lambda t: t.rlike(_PLAIN_AMPERSANDS))
+    return F.coalesce(decoder(F.when(unusual, texts)), F.transform(texts, _decode_plain))
+
+
+def unescape(c: Column | str, times: int = 1) -> Column:
+    return F.get(unescape_all(F.array(as_col(c)), times), F.lit(0))
+
+
+def clean_all(texts: Column, decode: int = 1) -> Column:
+    """``clean_text`` of an array of texts, in one step for all of them."""
+    return F.transform(unescape_all(texts, decode), collapse_spaces)
 
 
 def collapse_spaces(c: Column | str) -> Column:

@@ -54,7 +54,7 @@ def _alternation(terms: Sequence[str]) -> str:
 def topic_pattern(topic: str) -> str:
     terms = TOPIC_TERMS[topic]
     letters = "".join(sorted({t[0] for t in terms}))
-    return rf"(?=[{letters}]){EDGE_BEFORE}(?:{_alternation(terms)}){EDGE_AFTER}"
+    return rf"{EDGE_BEFORE}(?=[{letters}])(?:{_alternation(terms)}){EDGE_AFTER}"
 
 
 def tagging_text(title: Column | str, abstract: Column | str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.identifiers import guess_doi
-from feedloom.functions.text import blank_to_null, clean_text, first_filled
+from feedloom.functions.text import blank_to_null, clean_all, first_filled
 
 MAX_ITEMS_PER_FEED = 200
 
@@ -24,6 +24,7 @@ _ATOM = (
     " published string, updated string>>"
 )
 _RAW_FIELDS = ("title", "link", "id_like", "pub_date", "doi", "journal")
+_CLEANED_FIELDS = ("title", "pub_date", "doi", "journal")
 
 
 def dialect(content: Column) -> Column:
@@ -127,10 +128,14 @@ def feed_items(payloads: DataFrame, max_items: int = MAX_ITEMS_PER_FEED) -> Data
         .filter(~_is_broken())
         .select("feed_url", "feed_ord", "dialect", F.posexplode(items).alias("pos", "i"))
     )
-    cleaned = {"title", "pub_date", "doi", "journal"}
-    return raw.select(
+    texts = clean_all(F.array(*(F.col(f"i.{c}") for c in _CLEANED_FIELDS)))
+    cleaned = raw.select("feed_url", "feed_ord", "dialect", "pos", "i", texts.alias("_clean"))
+    return cleaned.select(
         "feed_url", "feed_ord", "dialect", "pos",
-        *((clean_text(f"i.{c}") if c in cleaned else F.col(f"i.{c}")).alias(c) for c in _RAW_FIELDS),
+        *(
+            (F.get("_clean", F.lit(_CLEANED_FIELDS.index(c))) if c in _CLEANED_FIELDS else F.col(f"i.{c}")).alias(c)
+            for c in _RAW_FIELDS
+        ),
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from feedloom.functions.dates import iso_date_prefix
 from feedloom.functions.identifiers import DOI_LOOSE, host_in, ingest_doi, normalize_link, publisher_doi
 from feedloom.functions.markup import abstract_block_udf, publisher_parts_udf
-from feedloom.functions.text import as_col, clean_text, first_filled, strip, unescape
+from feedloom.functions.text import as_col, clean_all, first_filled, strip, unescape_all
 
 RECORD_FIELDS = ("title", "abstract", "journal", "type", "date_published", "doi", "article_url", "raw_jsonld")
 
@@ -150,14 +150,14 @@ def meta_content(tags: Column | str, *names: str, attribute: str = "name") -> Co
 
 # Meta names by record field for ordinary pages and for the publisher's pages.
 _GENERIC_META = {
-    "journal": ("citation_journal_title",),
-    "title": ("citation_title",),
-    "doi": ("citation_doi",),
-    "date_published": ("citation_publication_date",),
-    "type": ("citation_article_type",),
-    "description1": ("dc.description",),
-    "description2": ("description",),
-    "twitter": ("twitter:description",),
+    "m_journal": ("citation_journal_title",),
+    "m_title": ("citation_title",),
+    "m_doi": ("citation_doi",),
+    "m_date_published": ("citation_publication_date",),
+    "m_type": ("citation_article_type",),
+    "m_description1": ("dc.description",),
+    "m_description2": ("description",),
+    "m_twitter": ("twitter:description",),
 }
 _META_FIELDS = ("journal", "title", "doi", "date_published", "type")
 
@@ -180,11 +180,7 @@ def extract_records(
         "_metas", meta_tags(without_scripts(F.col("_visible")))
     )
     picked = scanned.withColumn("_article", pick_article(ld_objects(F.col("_ld"))))
-    # Plain columns, not structs: Spark would inline the fields of a struct into every use of them.
-    ld = {f"j_{f}": c for f, c in ld_fields(F.col("_article")).items()}
-    metas = {f"m_{f}": meta_content("_metas", *names) for f, names in _GENERIC_META.items()}
-    metas |= {f: meta_content("_metas", *names) for f, names in _PUBLISHER_META.items()}
-    metas["m_og"] = meta_content("_metas", "og:description", attribute="property")
+    ld, generic_meta, own_meta = ld_fields(F.col("_article")), dict(_GENERIC_META), dict(_PUBLISHER_META)
     raw = picked.select(
         *keep,
         html,
@@ -192,19 +188,32 @@ def extract_records(
         host_in(url, publisher_suffix, compat).alias("_own_layout"),
         ld_text(F.col("_ld")).alias("_ld_text"),
         F.col("_article").isNotNull().alias("_has_article"),
-        *(c.alias(n) for n, c in {**ld, **metas}.items()),
+        F.array(*ld.values()).alias("_j"),
+        F.array(*(meta_content("_metas", *names) for names in generic_meta.values()),
+                meta_content("_metas", "og:description", attribute="property")).alias("_m"),
+        F.array(*(meta_content("_metas", *names) for names in own_meta.values())).alias("_p"),
     )
     # One Arrow pass decodes the few texts with unusual entities and walks the few pages that need a tree.
-    described = F.coalesce("j_abstract", "m_description1", "m_description2")
-    wants_block = described.isNull() & F.col(html).rlike(_BLOCK_HINT)
-    decoded = raw.select(
+    described = [F.get("_j", F.lit(list(ld).index("abstract")))] + [
+        F.get("_m", F.lit(list(generic_meta).index(f))) for f in ("m_description1", "m_description2")
+    ]
+    wants_block = F.coalesce(*described).isNull() & F.col(html).rlike(_BLOCK_HINT)
+    own_html = F.when(F.col("_own_layout"), F.col(html))
+    texts = raw.select(
         *keep,
         "_url", "_own_layout", "_ld_text", "_has_article",
-        *(clean_text(f).alias(f) for f in ld),
-        *(clean_text(f, decode=2).alias(f) for f in metas if f.startswith("m_")),
-        *(strip(unescape(f)).alias(f) for f in metas if f.startswith("p_")),
+        clean_all(F.col("_j")).alias("_j"),
+        clean_all(F.col("_m"), decode=2).alias("_m"),
+        F.transform(unescape_all(F.when(F.col("_own_layout"), F.col("_p"))), strip).alias("_p"),
         abstract_block_udf(F.when(wants_block, F.col(html))).alias("block"),
-        publisher_parts_udf(F.when(F.col("_own_layout"), F.col(html))).alias("_parts"),
+        publisher_parts_udf(own_html).alias("_parts"),
+    )
+    decoded = texts.select(
+        *keep,
+        "_url", "_own_layout", "_ld_text", "_has_article", "block", "_parts",
+        *(F.get("_j", F.lit(i)).alias(f"j_{f}") for i, f in enumerate(ld)),
+        *(F.get("_m", F.lit(i)).alias(f) for i, f in enumerate((*generic_meta, "m_og"))),
+        *(F.get("_p", F.lit(i)).alias(f) for i, f in enumerate(own_meta)),
     )
     generic, own = _generic_record(compat), _publisher_record()
     use_own = F.col("_own_layout") & _core_complete(own)

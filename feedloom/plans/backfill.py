@@ -162,12 +162,11 @@ def translation_work(sources: DataFrame) -> DataFrame:
 def add_translations(sources: DataFrame, translations: DataFrame) -> DataFrame:
     """Look up ``translations(src_hash, text)`` for both texts; a text many rows share is salted."""
     answers = translations.filter("text IS NOT NULL AND text <> ''")
-    rows = sources
-    for src, out in (("title_src", "new_title_cn"), ("abstract_src", "new_abstract_cn")):
-        rows = rows.withColumn("_hash", sha256_hex(src))
-        heavy = heavy_keys(rows.select("_hash"), "_hash")
-        right = answers.select(F.col("src_hash").alias("_hash"), F.col("text").alias(out))
-        rows = salted_join(rows, right, "_hash", "left", "uid", heavy).drop("_hash")
+    rows = sources.withColumn("_h_title", sha256_hex("title_src")).withColumn("_h_abstract", sha256_hex("abstract_src"))
+    heavy = heavy_keys(rows.select(F.explode(F.array("_h_title", "_h_abstract")).alias("h")), "h")
+    for key, out in (("_h_title", "new_title_cn"), ("_h_abstract", "new_abstract_cn")):
+        right = answers.select(F.col("src_hash").alias(key), F.col("text").alias(out))
+        rows = salted_join(rows, right, key, "left", "uid", heavy).drop(key)
     return rows
 
 
@@ -201,9 +200,16 @@ def plan_topics(plan: DataFrame, reclassify: bool = False, compat: bool = False)
     return tagged.withColumn("new_topic_tag", F.when(different, F.col("_tag"))).drop("_text", "_tag")
 
 
+def prepare_backfill(candidates: DataFrame, probes: DataFrame, doi_mode: bool = False) -> DataFrame:
+    """First half of a plan: metadata changes and the texts to translate, written down.
+
+    ``translation_work`` of the result goes to a translator; the result and its answers go to ``plan_backfill``.
+    """
+    return stage(translation_sources(plan_metadata(candidates, probes), force=doi_mode), "backfill-sources")
+
+
 def plan_backfill(
-    candidates: DataFrame,
-    probes: DataFrame,
+    sources: DataFrame,
     translations: DataFrame | None = None,
     reclassify: bool = False,
     doi_mode: bool = False,
@@ -214,8 +220,7 @@ def plan_backfill(
     The plan is written down: summary, counts and the update read it, and a filter on a planned value must not
     make Spark compute that value twice.
     """
-    plan = translation_sources(plan_metadata(candidates, probes), force=doi_mode)
-    plan = add_translations(plan, translations) if translations is not None else without_translations(plan)
+    plan = add_translations(sources, translations) if translations is not None else without_translations(sources)
     return stage(plan_topics(plan, reclassify or doi_mode, compat), "backfill-plan")
 
 

@@ -166,8 +166,8 @@ def _translations(sources: DataFrame) -> DataFrame:
 
 def _plan(spark: SparkSession, sf: str) -> DataFrame:
     candidates, probes = backfill.range_candidates(view(spark, sf, "articles_v")), view(spark, sf, "reprobe_v")
-    answers = _translations(backfill.translation_sources(backfill.plan_metadata(candidates, probes)))
-    return backfill.plan_backfill(candidates, probes, answers)
+    sources = backfill.prepare_backfill(candidates, probes)
+    return backfill.plan_backfill(sources, _translations(sources))
 
 
 _META_OUT = ("uid", "new_type", "new_journal", "new_pub_date", "new_abstract_en")
@@ -217,7 +217,7 @@ def backfill_translate_work(spark, sf):
     _plan_sql("SELECT uid, new_title_cn, new_abstract_cn FROM trans WHERE coalesce(new_title_cn, new_abstract_cn) IS NOT NULL"),
 )
 def backfill_translate_plan(spark, sf):
-    sources = backfill.translation_sources(_meta_plan(spark, sf))
+    sources = stage(backfill.translation_sources(_meta_plan(spark, sf)), "sources")
     planned = backfill.add_translations(sources, _translations(sources))
     return planned.filter(backfill.has_change(("title_cn", "abstract_cn"))).select("uid", "new_title_cn", "new_abstract_cn")
 
@@ -297,7 +297,8 @@ def backfill_doi_mode(spark, sf):
     from feedloom.operators.identity import doi_requests
 
     chosen = backfill.doi_candidates(view(spark, sf, "articles_v"), doi_requests(lines=view(spark, sf, "doi_lines_v")))
-    plan = backfill.plan_backfill(backfill.range_candidates(chosen), view(spark, sf, "reprobe_v"), doi_mode=True)
+    sources = backfill.prepare_backfill(backfill.range_candidates(chosen), view(spark, sf, "reprobe_v"), doi_mode=True)
+    plan = backfill.plan_backfill(sources, doi_mode=True)
     return plan.select("uid", "title_src", "new_topic_tag")
 
 
