@@ -139,13 +139,21 @@ def meta_tags(html: Column) -> Column:
     return F.transform(pairs, lambda p: F.struct(*(value(p, k) for k in ("name", "property", "content"))))
 
 
-def meta_content(tags: Column | str, *names: str, attribute: str = "name") -> Column:
-    """Content of the first tag of the first name that has any; still entity-encoded."""
-    def first(name: str) -> Column:
-        content = F.get(F.filter(as_col(tags), lambda t: t[attribute] == name), F.lit(0))["content"]
+def content_by(tags: Column | str, attribute: str = "name") -> Column:
+    """Map from the value of ``attribute`` to the content of the first tag that has it."""
+    tags = as_col(tags)
+    keys = F.transform(tags, lambda t: t[attribute])
+    firsts = F.filter(tags, lambda t, i: F.array_position(keys, t[attribute]) == i + 1)
+    return F.map_from_entries(F.transform(firsts, lambda t: F.struct(t[attribute], t["content"])))
+
+
+def meta_content(contents: Column | str, *names: str) -> Column:
+    """First non-blank content among ``names``; still entity-encoded."""
+    def at(name: str) -> Column:
+        content = F.try_element_at(as_col(contents), F.lit(name))
         return F.when(strip(content) != "", content)
 
-    return F.coalesce(*map(first, names))
+    return F.coalesce(*map(at, names))
 
 
 # Meta names by record field for ordinary pages and for the publisher's pages.
@@ -179,7 +187,11 @@ def extract_records(
     scanned = visible.withColumn("_ld", ld_blocks(F.col("_visible"))).withColumn(
         "_metas", meta_tags(without_scripts(F.col("_visible")))
     )
-    picked = scanned.withColumn("_article", pick_article(ld_objects(F.col("_ld"))))
+    picked = (
+        scanned.withColumn("_article", pick_article(ld_objects(F.col("_ld"))))
+        .withColumn("_names", content_by("_metas"))
+        .withColumn("_properties", content_by("_metas", "property"))
+    )
     ld, generic_meta, own_meta = ld_fields(F.col("_article")), dict(_GENERIC_META), dict(_PUBLISHER_META)
     raw = picked.select(
         *keep,
@@ -189,9 +201,9 @@ def extract_records(
         ld_text(F.col("_ld")).alias("_ld_text"),
         F.col("_article").isNotNull().alias("_has_article"),
         F.array(*ld.values()).alias("_j"),
-        F.array(*(meta_content("_metas", *names) for names in generic_meta.values()),
-                meta_content("_metas", "og:description", attribute="property")).alias("_m"),
-        F.array(*(meta_content("_metas", *names) for names in own_meta.values())).alias("_p"),
+        F.array(*(meta_content("_names", *names) for names in generic_meta.values()),
+                meta_content("_properties", "og:description")).alias("_m"),
+        F.array(*(meta_content("_names", *names) for names in own_meta.values())).alias("_p"),
     )
     # One Arrow pass decodes the few texts with unusual entities and walks the few pages that need a tree.
     described = [F.get("_j", F.lit(list(ld).index("abstract")))] + [

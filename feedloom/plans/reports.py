@@ -13,6 +13,7 @@ from feedloom.functions.text import as_col, first_filled, truncate
 from feedloom.functions.topics import has_topic
 from feedloom.operators.ranking import bounded_rank, rank_within
 from feedloom.schemas import DEFAULT_TOPIC, TOPICS
+from feedloom.session import stage
 
 DIGEST_DAYS = 3
 DIGEST_LIMIT = 500
@@ -89,6 +90,10 @@ def digest_summary(items: DataFrame, compat: bool = False) -> DataFrame:
 
     Unreadable dates are left out of the range; with ``compat`` one of them makes the whole range textual.
     """
+    return _summary(stage(items.select("uid", "journal", "pub_date", "fetched_at"), "digest-facts"), compat)
+
+
+def _summary(items: DataFrame, compat: bool = False) -> DataFrame:
     pub = F.nullif(F.col("pub_date"), F.lit(""))
     day = flexible_date("pub_date")
     facts = items.agg(
@@ -111,8 +116,8 @@ def digest_summary(items: DataFrame, compat: bool = False) -> DataFrame:
     textual = F.col("_unread") > 0 if compat else F.lit(False)
     low = F.when(textual, F.col("_low")).otherwise(F.col("first_day"))
     high = F.when(textual, F.col("_high")).otherwise(F.col("last_day"))
-    # Both sides are single-row aggregates.
-    one = facts.withColumn("_one", F.lit(1)).join(F.broadcast(coverage.withColumn("_one", F.lit(1))), "_one")
+    both = facts.unionByName(coverage, allowMissingColumns=True)
+    one = both.agg(*(F.max(c).alias(c) for c in both.columns))
     return one.select(
         "n_items",
         "first_day",
@@ -146,10 +151,14 @@ def _lines(df: DataFrame, section: int, journal: Column, rank: Column, lines: li
 
 
 def digest_lines(items: DataFrame, topics: Sequence[str] | None = None, bounded: bool = True) -> DataFrame:
-    """The Markdown digest as rows; order by section, journal, item, part."""
+    """The Markdown digest as rows; order by section, journal, item, part.
+
+    The selection is written down once: several sections read it, and the articles should be scanned only once.
+    """
     none, zero = F.lit(""), F.lit(0)
+    items = stage(items, "digest-items")
     ranked = by_journal(items, bounded)
-    summary = digest_summary(items)
+    summary = _summary(items)
     journals = ranked.select("journal").distinct()
     title = F.coalesce(F.col("title_en"), F.lit(""))
     number = F.col("rank_in_journal").cast("string")

@@ -30,9 +30,8 @@ def normal(rows) -> list[tuple]:
     return sorted(tuple(map(cell, r)) for r in rows)
 
 
-def check(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> str | None:
+def check(con, df, sql: str | None) -> str | None:
     """None when the results agree, else what differs."""
-    df = fn(spark, sf_dir)
     cols = sorted(df.columns)
     got = normal(tuple(r) for r in df.select(*cols).collect())
     if sql is None:
@@ -62,7 +61,7 @@ def main(argv: list[str]) -> int:
             continue
         start = time.time()
         try:
-            problem = check(spark, con, name, fn, oracles.get(name), sf_dir)
+            problem = check(con, fn(spark, sf_dir), oracles.get(name))
         except Exception as e:  # noqa: BLE001
             problem = f"{type(e).__name__}: {str(e)[:700]}"
         bad += problem is not None
