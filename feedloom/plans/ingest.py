@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,10 +18,12 @@ from feedloom.operators.pages import RECORD_FIELDS, extract_records, reconcile
 from feedloom.operators.retries import update_pending
 from feedloom.operators.skew import heavy_keys, salted_join
 from feedloom.plans.runs import log_row, run_status
-from feedloom.session import stage
+from feedloom.session import clear_stages, is_small, stage, stage_mark
 from feedloom.sources import tables
+from feedloom.sources.tables import Store
 
 LAST_UPDATE_KEY = "last_global_update_at"
+MAX_BROADCAST_URLS = 500_000
 # Errors recorded for pages that cannot be used.
 PAGE_MISSING, NOT_HTML = "page not landed", "Non-HTML content-type: "
 
@@ -40,11 +41,15 @@ def page_failure(page: str = "page") -> Column:
 def read_pages(items: DataFrame, page_payloads: DataFrame, compat: bool = False) -> DataFrame:
     """Each item with its page record (``page``, NULL if none landed) and ``failure``.
 
-    Pages no item asks for are dropped before they are parsed; the join back carries only records. Items with
-    the same or no link are salted.
+    A bounded set of asked urls is broadcast, so other pages are dropped before they are parsed. With more urls
+    all landed pages are parsed where they lie. Either way the page text is never shuffled: the join back carries
+    only records. Items with the same or no link are salted.
     """
     wanted = items.withColumn("url", F.nullif(normalize_link("link"), F.lit("")))
-    asked = page_payloads.join(wanted.select("url").distinct(), "url", "left_semi")
+    urls = wanted.select("url").filter("url IS NOT NULL").distinct()
+    asked = page_payloads
+    if is_small(urls, MAX_BROADCAST_URLS):
+        asked = page_payloads.join(F.broadcast(urls), "url", "left_semi")
     readable = F.when(F.col("error").isNull() & is_html_type("content_type"), F.col("html"))
     records = extract_records(asked.withColumn("html", readable), compat=compat)
     page = F.struct("content_type", "error", *RECORD_FIELDS)
@@ -102,16 +107,6 @@ def find_new_items(feed_payloads: DataFrame, seen: DataFrame, max_items: int = f
     return new_items(items, seen)
 
 
-@dataclass(frozen=True)
-class Store:
-    """Locations of the tables under one root folder."""
-
-    root: str
-
-    def path(self, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{table}"
-
-
 def run_ingest(
     spark: SparkSession,
     store: Store,
@@ -128,6 +123,7 @@ def run_ingest(
 
     The ledger is written last: until then a repeated run finds the same new items again.
     """
+    mark = stage_mark()
     this_run = F.col(tables.RUN) == run_id
     seen = tables.read_appended(spark, store.path("seen"), schemas.SEEN).filter(~this_run)
     fresh = stage(find_new_items(feed_payloads, seen, max_items), "new-items")
@@ -153,7 +149,8 @@ def run_ingest(
         spark, run_id, "ingest", run_ts, run_ts, status, counts["inserted"], f"fails={failures} broken_feeds={broken}"
     )
     tables.append_run(log, store.path("runs_log"), schemas.RUNS_LOG, run_id)
-    mark = spark.createDataFrame([(LAST_UPDATE_KEY, run_ts.isoformat(timespec="seconds"))], schemas.META)
-    publish(replace_rows(before("meta", schemas.META), mark, "key"), "meta", schemas.META)
+    updated = spark.createDataFrame([(LAST_UPDATE_KEY, run_ts.isoformat(timespec="seconds"))], schemas.META)
+    publish(replace_rows(before("meta", schemas.META), updated, "key"), "meta", schemas.META)
     tables.append_run(seen_rows(articles), store.path("seen"), schemas.SEEN, run_id)
+    clear_stages(spark, mark)
     return {"inserted": counts["inserted"], "failures": failures, "status": status}

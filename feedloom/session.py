@@ -48,30 +48,52 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_STAGED: list[str] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage of a result that several later steps read, by a table in the shared folder."""
+    """Cut the lineage of a result that several later steps read, by a table in the shared folder.
+
+    A lost executor then costs a re-read, not a recomputation. ``clear_stages`` removes the tables.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast only after a count has proved the bound; otherwise leave the join to shuffle.
+def stage_mark() -> int:
+    return len(_STAGED)
 
-    Meant for narrow key tables; the count stops at ``max_rows + 1`` rows.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+def clear_stages(spark: SparkSession, mark: int = 0) -> None:
+    """Remove the tables staged since ``mark``, once nothing reads them any more."""
+    sc = spark.sparkContext
+    for path in _STAGED[mark:]:
+        location = sc._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(sc._jsc.hadoopConfiguration()).delete(location, True)
+    del _STAGED[mark:]
+
+
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; the count stops right after that."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Broadcast a narrow key table only after a count has proved the bound; otherwise let the join shuffle."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
-def read_spread(spark: SparkSession, path: str, bytes_per_core: int = 64 << 20) -> DataFrame:
+def read_spread(spark: SparkSession, path: str, key: str, bytes_per_core: int = 64 << 20) -> DataFrame:
     """Read a Parquet table for CPU-heavy work such as parsing.
 
-    A small table may sit in one row group and so in one task; it is spread over all cores at a cost bounded by
-    ``bytes_per_core``. A larger one has enough splits and is read as it is, without a shuffle.
+    A small table may sit in one row group and so in one task; it is spread over all cores by its unique ``key``,
+    at a cost bounded by ``bytes_per_core``. A larger one has enough splits and is read as it is, without a shuffle.
     """
     sc = spark.sparkContext
     location = sc._jvm.org.apache.hadoop.fs.Path(path)
     size = location.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(location).getLength()
     df = spark.read.parquet(path)
-    return df.repartition(sc.defaultParallelism) if size < sc.defaultParallelism * bytes_per_core else df
+    return df.repartition(sc.defaultParallelism, key) if size < sc.defaultParallelism * bytes_per_core else df

@@ -7,6 +7,7 @@ replaces its own rows. The small mutable tables are written as new snapshots; Sp
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,16 @@ _DAY_FIELD = T.StructField(DAY, T.DateType())
 _RUN_FIELD = T.StructField(RUN, T.StringType())
 
 
+@dataclass(frozen=True)
+class Store:
+    """Locations of the tables under one root folder."""
+
+    root: str
+
+    def path(self, table: str) -> str:
+        return f"{self.root.rstrip('/')}/{table}"
+
+
 def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -16,8 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from feedloom import schemas
 from feedloom.operators.identity import new_items
 from feedloom.operators.retries import update_pending
-from feedloom.plans.ingest import Store, run_ingest
+from feedloom.plans.ingest import run_ingest
 from feedloom.sources import tables
+from feedloom.sources.tables import Store
 
 
 def _run_available(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:

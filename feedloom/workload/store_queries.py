@@ -155,7 +155,7 @@ def _plan_sql(body: str) -> str:
 
 
 def _meta_plan(spark: SparkSession, sf: str) -> DataFrame:
-    return backfill.plan_metadata(backfill.range_candidates(view(spark, sf, "articles_v")), view(spark, sf, "reprobe_v"))
+    return backfill.plan_metadata(backfill.range_candidates(view(spark, sf, "articles_v", heavy=True)), view(spark, sf, "reprobe_v", heavy=True))
 
 
 def _translations(sources: DataFrame) -> DataFrame:
@@ -165,7 +165,7 @@ def _translations(sources: DataFrame) -> DataFrame:
 
 
 def _plan(spark: SparkSession, sf: str) -> DataFrame:
-    candidates, probes = backfill.range_candidates(view(spark, sf, "articles_v")), view(spark, sf, "reprobe_v")
+    candidates, probes = backfill.range_candidates(view(spark, sf, "articles_v", heavy=True)), view(spark, sf, "reprobe_v", heavy=True)
     sources = backfill.prepare_backfill(candidates, probes)
     return backfill.plan_backfill(sources, _translations(sources))
 

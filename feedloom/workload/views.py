@@ -126,18 +126,24 @@ def sql_with(body: str, *names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names) + "\n" + body
 
 
-TEXT_TABLES = ("documents", "pages")
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return read_spread(spark, path) if name in TEXT_TABLES else spark.read.parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose texts are about to be parsed or matched."""
+    return read_spread(spark, f"{sf_dir}/{name}.parquet", TEXT_KEYS[name])
+
+
+def view(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """A derived view; ``heavy`` if its texts are about to be parsed or matched."""
     for t in ("documents", "events", "pages"):
         if f" {t}" in VIEWS[name]:
-            table(spark, sf_dir, t).createOrReplaceTempView(t)
+            read = text_table if heavy and t in TEXT_KEYS else table
+            read(spark, sf_dir, t).createOrReplaceTempView(t)
     return spark.sql(VIEWS[name])
 
 

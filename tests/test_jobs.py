@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.plans import backfill, reports
-from feedloom.plans.ingest import LAST_UPDATE_KEY, Store, run_ingest
+from feedloom.operators.identity import bounded_dedupe, doi_requests
+from feedloom.plans import jobs
+from feedloom.plans.ingest import LAST_UPDATE_KEY, run_ingest
 from feedloom.sources import landing, tables, text_sinks
+from feedloom.sources.tables import Store
 from feedloom.streaming.jobs import ingest_stream
 
 DAY1, DAY2 = datetime(2024, 5, 1, 8), datetime(2024, 5, 2, 8)
@@ -191,7 +194,37 @@ def test_text_outputs(spark, tmp_path):
 
 def test_doi_file(spark, tmp_path):
     (tmp_path / "dois.txt").write_text("# x\n10.1/A\n\nhttps://doi.org/10.1/b,c\n")
-    from feedloom.operators.identity import doi_requests
-
     got = doi_requests(lines=landing.doi_lines(spark, f"file://{tmp_path}/dois.txt"))
     assert {r.doi_key for r in got.collect()} == {"10.1/a", "10.1/b,c"}
+
+
+def test_report_and_backfill_jobs(spark, store, tmp_path):
+    tables.write_articles(_articles(spark), store.path("articles"))
+    assert jobs.run_digest(spark, store, f"file://{tmp_path}/d", DAY2, "d1", ["其他"]) == 2
+    assert jobs.run_latest(spark, store, f"file://{tmp_path}/l", DAY2, "l1", limit=2) == 2
+    html = '<meta name="citation_journal_title" content="New J"><meta name="description" content="about a virus">'
+    pages = spark.createDataFrame([("https://j.org/a", "text/html", html, None), ("https://j.org/c", "text/html", html, None)], schemas.PAGE_PAYLOADS)
+    preview = jobs.run_backfill(spark, store, pages, DAY2, "b0", dry_run=True)
+    assert (preview["to_apply"], preview["applied"]) == (2, 0)
+    translate = lambda work: work.select("src_hash", F.concat(F.lit("译:"), "text").alias("text"))
+    approve = lambda summary: summary.filter("uid <> 'c'")
+    done = jobs.run_backfill(spark, store, pages, DAY2, "b1", translate=translate, approve=approve)
+    assert (done["rows"], done["applied"], done["skipped"]) == (3, 1, 1)
+    rows = {r.uid: r for r in tables.read_articles(spark, store.path("articles")).collect()}
+    assert (rows["a"].title_cn, rows["a"].journal, rows["a"].abstract_en, rows["c"].journal) == ("译:On dna", "New J", "about a virus", "J")
+    dois = doi_requests(spark.createDataFrame([(0, "10.1/C,10.9/none")], "ord long, value string"))
+    done = jobs.run_backfill(spark, store, pages, DAY2, "b2", dois=dois, translate=translate)
+    assert (done["rows"], done["applied"]) == (1, 1)
+    row = tables.read_articles(spark, store.path("articles")).filter("uid = 'c'").first()
+    assert (row.title_cn, row.journal) == ("译:C", "New J")
+    log = {r.run_id: r.rows_processed for r in tables.read_appended(spark, store.path("runs_log"), schemas.RUNS_LOG).collect()}
+    assert log == {"d1": 2, "l1": 2, "b0": 0, "b1": 1, "b2": 1}
+
+
+def test_bounded_stream_dedupe(spark, tmp_path):
+    rows = spark.createDataFrame([("a", DAY1), ("a", DAY1), ("b", DAY1)], "uid string, at timestamp_ntz").withColumn("at", F.col("at").cast("timestamp"))
+    rows.write.parquet(f"file://{tmp_path}/in")
+    stream = bounded_dedupe(spark.readStream.schema(rows.schema).parquet(f"file://{tmp_path}/in"), "at", "1 hour")
+    query = stream.writeStream.format("memory").queryName("deduped").option("checkpointLocation", f"file://{tmp_path}/cp").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sorted(r.uid for r in spark.table("deduped").collect()) == ["a", "b"]
