@@ -6,13 +6,14 @@ Ingestion is ``feedloom.plans.ingest.run_ingest``.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.functions.identifiers import is_html_type
+from feedloom.functions.topics import has_topic
 from feedloom.operators.pages import extract_records
 from feedloom.plans import backfill, reports
 from feedloom.plans.runs import log_row
@@ -26,10 +27,6 @@ def _log(spark, store: Store, run_id: str, script: str, run_ts: datetime, rows:
     tables.append_run(row, store.path("runs_log"), schemas.RUNS_LOG, run_id)
 
 
-def _recent(spark: SparkSession, store: Store) -> DataFrame:
-    return tables.read_articles(spark, store.path("articles")).drop(tables.DAY)
-
-
 def run_digest(
     spark: SparkSession,
     store: Store,
@@ -42,7 +39,9 @@ def run_digest(
 ) -> int:
     """Write the Markdown digest; without a limit also one folder per journal would suit, see ``text_sinks``."""
     mark = stage_mark()
-    items = stage(reports.digest_items(_recent(spark, store), run_ts, topics, since_days, limit), "digest")
+    since = (run_ts - timedelta(days=since_days)).date()
+    articles = tables.read_articles(spark, store.path("articles"), first=since)
+    items = stage(reports.digest_items(articles, run_ts, topics, since_days, limit), "digest")
     text_sinks.write_digest(reports.digest_lines(items, topics, bounded=limit > 0), out)
     n = items.count()
     _log(spark, store, run_id, "digest", run_ts, n, f"topics={'-'.join(topics) if topics else 'ALL'}; file={out}")
@@ -59,9 +58,12 @@ def run_latest(
     topics: Sequence[str] | None = None,
     limit: int = reports.LISTING_LIMIT,
 ) -> int:
-    """Write the numbered listing of the newest articles."""
+    """Write the numbered listing of the newest articles, reading only the days that can hold them."""
     mark = stage_mark()
-    blocks = stage(reports.listing(reports.latest(_recent(spark, store), topics, limit)), "listing")
+    path = store.path("articles")
+    about = tables.read_articles(spark, path).filter(has_topic("topic_tag", topics))
+    articles = tables.read_articles(spark, path, first=tables.newest_days(about, limit))
+    blocks = stage(reports.listing(reports.latest(articles, topics, limit)), "listing")
     text_sinks.write_listing(blocks, out, run_ts, topics)
     n = blocks.count()
     _log(spark, store, run_id, "latest", run_ts, n, f"topics={list(topics or ())}")
@@ -91,9 +93,12 @@ def run_backfill(
     """
     mark = stage_mark()
     doi_mode = dois is not None
-    articles = tables.read_articles(spark, store.path("articles"))
-    chosen = backfill.doi_candidates(articles, dois) if doi_mode else articles
-    candidates = backfill.range_candidates(chosen, None if doi_mode else start, None if doi_mode else end, 0 if doi_mode else limit)
+    path = store.path("articles")
+    articles = tables.read_articles(spark, path)
+    if doi_mode:
+        candidates = backfill.range_candidates(backfill.doi_candidates(articles, dois))
+    else:
+        candidates = backfill.range_candidates(tables.read_articles(spark, path, start, end), start, end, limit)
     readable = F.when(F.col("error").isNull() & is_html_type("content_type"), F.col("html"))
     records = extract_records(page_payloads.withColumn("html", readable))
     sources = backfill.prepare_backfill(candidates, backfill.page_probes(candidates, records), doi_mode)
@@ -108,7 +113,7 @@ def run_backfill(
         days = tables.touched_days(articles, changes)
         if days:
             old = articles.filter(F.col(tables.DAY).isin(*days)).drop(tables.DAY)
-            tables.write_articles(backfill.apply_plan(old, plan, run_ts, approved), store.path("articles"))
+            tables.write_articles(backfill.apply_plan(old, plan, run_ts, approved), path)
     skipped = 0 if dry_run else counts["to_apply"] - applied
     notes = "; ".join([
         f"mode={'doi_mode' if doi_mode else 'date_range'}", f"rows={counts['rows']}", f"applied={applied}", f"skipped={skipped}",

@@ -58,15 +58,38 @@ def _overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
 
 # ---- articles --------------------------------------------------------------------------------------------
 
-def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    """Articles with their partition column; columns an older file lacks read as NULL."""
-    return _read(spark, path, schemas.ARTICLES, _DAY_FIELD)
+def read_articles(spark: SparkSession, path: str, first: date | None = None, last: date | None = None) -> DataFrame:
+    """Articles with their partition column; columns an older file lacks read as NULL.
+
+    ``first`` and ``last`` prune the days outside them before any file is opened.
+    """
+    articles = _read(spark, path, schemas.ARTICLES, _DAY_FIELD)
+    if first:
+        articles = articles.filter(F.col(DAY) >= F.lit(first))
+    if last:
+        articles = articles.filter(F.col(DAY) <= F.lit(last))
+    return articles
+
+
+def newest_days(articles: DataFrame, rows: int) -> date | None:
+    """The first day such that it and the later days hold at least ``rows`` rows; None if no day bounds them.
+
+    Counts per day need only the partition column and what ``articles`` was filtered by; the driver gets one row
+    per day.
+    """
+    total = 0
+    counts = articles.filter(F.col(DAY).isNotNull()).groupBy(DAY).agg(F.count(F.lit(1)).alias("n"))
+    for row in counts.orderBy(F.desc(DAY)).collect():
+        total += row["n"]
+        if total >= rows:
+            return row[DAY]
+    return None
 
 
 def write_articles(articles: DataFrame, path: str) -> None:
-    """Replace the days present in ``articles``; the rebalance splits large days into even files."""
+    """Replace the days present in ``articles``; a day goes to few tasks, and AQE splits a large one."""
     rows = schemas.conform(articles, schemas.ARTICLES).withColumn(DAY, F.col("fetched_at").cast("date"))
-    _overwrite_partitions(rows.hint("rebalance"), path, DAY)
+    _overwrite_partitions(rows.hint("rebalance", F.col(DAY)), path, DAY)
 
 
 def touched_days(articles: DataFrame, changes: DataFrame) -> list[date]:

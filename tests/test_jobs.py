@@ -102,6 +102,18 @@ def test_merge_rewrites_only_touched_days(spark, store):
     assert {f.split("fetched_date=")[1][:10] for f in kept} == {"2024-01-01", "2024-01-03"}
 
 
+def test_newest_days(spark, store):
+    path = store.path("articles")
+    rows = [(f"u{i}", "f", datetime(2024, 1, 1 + i % 4) if i else None) for i in range(12)]
+    tables.write_articles(spark.createDataFrame(rows, "uid string, feed_url string, fetched_at timestamp_ntz"), path)
+    table = tables.read_articles(spark, path)
+    assert tables.newest_days(table, 4) == date(2024, 1, 3) and tables.newest_days(table, 3) == date(2024, 1, 4)
+    assert tables.newest_days(table, 12) is None
+    pruned = tables.read_articles(spark, path, first=date(2024, 1, 3))
+    assert {r.uid for r in reports.latest(pruned, limit=4).collect()} == {r.uid for r in reports.latest(table, limit=4).collect()}
+    assert "PartitionFilters: [isnotnull(fetched_date" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
 def test_stream_equals_batch(spark, store, tmp_path):
     pages = page_table(spark, 1, 2, 3, 4)
     landed = f"file://{tmp_path}/landed"
