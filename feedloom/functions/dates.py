@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,11 @@ MONTHS = ("january", "february", "march", "april", "may", "june", "july",
 _DAY_MONTH_YEAR = rf"([0-9]{{1,2}}){WS}+([A-Za-z]+){WS}+([0-9]{{4}})"
 
 
+def local_time(at: datetime) -> Column:
+    """A zone-free timestamp literal; independent of the session's and the driver's time zones."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def human_date(c: Column | str) -> Column:
     """First ``day MonthName year`` in a text as ``yyyy-MM-dd``; the day is not range-checked."""
     c = as_col(c)

@@ -6,16 +6,16 @@ publisher with its own layout, are handed to a document tree; all other pages tr
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.dates import iso_date_prefix
-from feedloom.functions.identifiers import DOI_LOOSE, host_in, ingest_doi, normalize_link, publisher_doi
+from feedloom.functions.identifiers import DOI_LOOSE, host_in, ingest_doi, is_html_type, normalize_link, publisher_doi
 from feedloom.functions.markup import abstract_block_udf, publisher_parts_udf
 from feedloom.functions.text import as_col, clean_all, first_filled, strip, unescape_all
+from feedloom.session import is_small
 
+MAX_BROADCAST_URLS = 500_000
 RECORD_FIELDS = ("title", "abstract", "journal", "type", "date_published", "doi", "article_url", "raw_jsonld")
 
 # The host suffix with its own page layout, and the article types accepted in JSON-LD.
@@ -284,6 +284,24 @@ def _core_complete(record: dict[str, Column]) -> Column:
     )
 
 
+def records_for(urls: DataFrame, page_payloads: DataFrame, compat: bool = False) -> DataFrame:
+    """``(url, page)``: one record per landed page that ``urls(url)`` asks for, as a struct.
+
+    A bounded set of urls is broadcast, so other pages are dropped before they are parsed. With more urls all
+    landed pages are parsed where they lie. Either way the page text is never shuffled, only records are. Of
+    several landings of a url a readable one is preferred.
+    """
+    asked = page_payloads
+    distinct = urls.select("url").filter("url IS NOT NULL").distinct()
+    if is_small(distinct, MAX_BROADCAST_URLS):
+        asked = page_payloads.join(F.broadcast(distinct), "url", "left_semi")
+    readable = F.col("error").isNull() & is_html_type("content_type")
+    records = extract_records(asked.withColumn("html", F.when(readable, F.col("html"))), compat=compat)
+    best = F.struct(readable, F.col("title").isNotNull(), F.xxhash64("content_type", "error", *RECORD_FIELDS))
+    page = F.struct("content_type", "error", *RECORD_FIELDS)
+    return records.groupBy("url").agg(F.max_by(page, best).alias("page"))
+
+
 # ---- reconciliation with the feed item -------------------------------------------------------------------
 
 def reconcile(item: str, page: str) -> dict[str, Column]:
@@ -304,8 +322,3 @@ def reconcile(item: str, page: str) -> dict[str, Column]:
         "abstract_en": p("abstract"),
         "raw_jsonld": p("raw_jsonld"),
     }
-
-
-def record_columns(record: dict[str, Column], names: Sequence[str] | None = None) -> list[Column]:
-    return [record[n].alias(n) for n in (names or record)]
-

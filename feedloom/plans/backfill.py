@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.articles import is_better_abstract
-from feedloom.functions.dates import is_incomplete_date
+from feedloom.functions.dates import is_incomplete_date, local_time
 from feedloom.functions.identifiers import is_html_type
 from feedloom.functions.text import blank_to_null, changed, sha256_hex, show_value, stripped_or_empty
 from feedloom.functions.topics import decode_tags, primary_topic, tagging_text
+from feedloom.operators.pages import records_for
 from feedloom.operators.ranking import rank_within
 from feedloom.operators.skew import heavy_keys, salted_join
 from feedloom.schemas import PLAN_COLUMNS
@@ -39,10 +40,10 @@ def range_candidates(
     """
     rows = articles.select(*_CANDIDATE_COLUMNS)
     if start:
-        rows = rows.filter(F.col("fetched_at") >= F.lit(datetime.combine(start, datetime.min.time())).cast("timestamp_ntz"))
+        rows = rows.filter(F.col("fetched_at") >= local_time(datetime.combine(start, datetime.min.time())))
     if end:
         after = datetime.combine(end + timedelta(days=1), datetime.min.time())
-        rows = rows.filter(F.col("fetched_at") < F.lit(after).cast("timestamp_ntz"))
+        rows = rows.filter(F.col("fetched_at") < local_time(after))
     rows = rows.orderBy("fetched_at", "uid")
     return rows.limit(limit) if limit > 0 else rows
 
@@ -274,18 +275,19 @@ def apply_plan(
         if c in PLAN_COLUMNS:
             columns.append(F.coalesce(f"new_{c}", c).alias(c))
         elif c == "last_updated_at":
-            moved = F.when(F.col("_changed"), F.lit(run_ts).cast("timestamp_ntz"))
+            moved = F.when(F.col("_changed"), local_time(run_ts))
             columns.append(moved.otherwise(F.col(c)).alias(c))
         else:
             columns.append(F.col(c))
     return joined.select(*columns)
 
 
-def page_probes(candidates: DataFrame, records: DataFrame) -> DataFrame:
-    """Probes by uid from page records by url; candidates sharing a hot url are salted."""
-    wanted = candidates.select("uid", F.col("article_url").alias("url"))
-    pages = records.select(
-        "url", "type", "journal", "date_published", F.col("abstract").alias("abstract_en"), "content_type", "error"
+def page_probes(candidates: DataFrame, page_payloads: DataFrame) -> DataFrame:
+    """Probes by uid from landed pages; candidates sharing a hot url are salted."""
+    wanted = candidates.select("uid", F.nullif("article_url", F.lit("")).alias("url"))
+    records = records_for(wanted, page_payloads)
+    probed = salted_join(wanted, records, "url", "inner", "uid", heavy_keys(wanted, "url"))
+    return probed.select(
+        "uid", "page.type", "page.journal", "page.date_published", F.col("page.abstract").alias("abstract_en"),
+        "page.content_type", "page.error",
     )
-    return salted_join(wanted, pages, "url", "inner", "uid", heavy_keys(wanted, "url")).drop("url")
-

@@ -8,22 +8,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import schemas
+from feedloom.functions.dates import local_time
 from feedloom.functions.identifiers import ingest_doi, is_html_type, normalize_link
 from feedloom.functions.text import first_filled
 from feedloom.functions.topics import encode_tags, label_from_answer, tagging_text, topic_array
 from feedloom.operators import feeds as feed_ops
 from feedloom.operators.identity import item_uid, new_items
 from feedloom.operators.merge import replace_rows
-from feedloom.operators.pages import RECORD_FIELDS, extract_records, reconcile
+from feedloom.operators.pages import reconcile, records_for
 from feedloom.operators.retries import update_pending
 from feedloom.operators.skew import heavy_keys, salted_join
 from feedloom.plans.runs import log_row, run_status
-from feedloom.session import clear_stages, is_small, stage, stage_mark
+from feedloom.session import clear_stages, stage, stage_mark
 from feedloom.sources import tables
 from feedloom.sources.tables import Store
 
 LAST_UPDATE_KEY = "last_global_update_at"
-MAX_BROADCAST_URLS = 500_000
 # Errors recorded for pages that cannot be used.
 PAGE_MISSING, NOT_HTML = "page not landed", "Non-HTML content-type: "
 
@@ -41,20 +41,11 @@ def page_failure(page: str = "page") -> Column:
 def read_pages(items: DataFrame, page_payloads: DataFrame, compat: bool = False) -> DataFrame:
     """Each item with its page record (``page``, NULL if none landed) and ``failure``.
 
-    A bounded set of asked urls is broadcast, so other pages are dropped before they are parsed. With more urls
-    all landed pages are parsed where they lie. Either way the page text is never shuffled: the join back carries
-    only records. Items with the same or no link are salted.
+    Items with the same or no link are salted.
     """
     wanted = items.withColumn("url", F.nullif(normalize_link("link"), F.lit("")))
-    urls = wanted.select("url").filter("url IS NOT NULL").distinct()
-    asked = page_payloads
-    if is_small(urls, MAX_BROADCAST_URLS):
-        asked = page_payloads.join(F.broadcast(urls), "url", "left_semi")
-    readable = F.when(F.col("error").isNull() & is_html_type("content_type"), F.col("html"))
-    records = extract_records(asked.withColumn("html", readable), compat=compat)
-    page = F.struct("content_type", "error", *RECORD_FIELDS)
-    one_per_url = records.groupBy("url").agg(F.first(page).alias("page"))
-    joined = salted_join(wanted, one_per_url, "url", "left", "uid", heavy_keys(wanted, "url"))
+    records = records_for(wanted, page_payloads, compat)
+    joined = salted_join(wanted, records, "url", "left", "uid", heavy_keys(wanted, "url"))
     return joined.withColumn("failure", page_failure())
 
 
@@ -66,7 +57,7 @@ def article_rows(
     ``labels(uid, answer)`` may carry an external classifier's answers, ``translations(uid, title_cn,
     abstract_cn)`` an external translator's.
     """
-    now = F.lit(run_ts).cast("timestamp_ntz")
+    now = local_time(run_ts)
     item = F.struct("title", "pub_date", "doi", "link").alias("item")
     rows = read.filter("failure IS NULL").select("uid", "feed_url", item, "page")
     rows = rows.select("uid", "feed_url", *(c.alias(n) for n, c in reconcile("item", "page").items()))
@@ -86,7 +77,7 @@ def attempt_rows(read: DataFrame, run_ts: datetime) -> DataFrame:
     return read.select(
         "uid",
         F.lit(0).alias("attempt_id"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("attempted_at"),
+        local_time(run_ts).alias("attempted_at"),
         F.col("failure").isNull().alias("ok"),
         F.col("failure").alias("error"),
         "feed_url",

@@ -12,9 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import schemas
-from feedloom.functions.identifiers import is_html_type
 from feedloom.functions.topics import has_topic
-from feedloom.operators.pages import extract_records
 from feedloom.plans import backfill, reports
 from feedloom.plans.runs import log_row
 from feedloom.session import clear_stages, stage, stage_mark
@@ -99,9 +97,7 @@ def run_backfill(
         candidates = backfill.range_candidates(backfill.doi_candidates(articles, dois))
     else:
         candidates = backfill.range_candidates(tables.read_articles(spark, path, start, end), start, end, limit)
-    readable = F.when(F.col("error").isNull() & is_html_type("content_type"), F.col("html"))
-    records = extract_records(page_payloads.withColumn("html", readable))
-    sources = backfill.prepare_backfill(candidates, backfill.page_probes(candidates, records), doi_mode)
+    sources = backfill.prepare_backfill(candidates, backfill.page_probes(candidates, page_payloads), doi_mode)
     answers = translate(backfill.translation_work(sources)) if translate else None
     plan = backfill.plan_backfill(sources, answers, reclassify, doi_mode)
     counts = backfill.plan_counts(plan).first().asDict()

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.functions.dates import flexible_date
+from feedloom.functions.dates import flexible_date, local_time
 from feedloom.functions.text import as_col, first_filled, truncate
 from feedloom.functions.topics import has_topic
 from feedloom.operators.ranking import bounded_rank, rank_within
@@ -58,7 +58,7 @@ def digest_items(
 
     The time bound is a literal, so it reaches the Parquet scan. ``limit <= 0`` keeps every row.
     """
-    since = F.lit(run_ts - timedelta(days=since_days)).cast("timestamp_ntz")
+    since = local_time(run_ts - timedelta(days=since_days))
     chosen = articles.select(*_DIGEST_COLUMNS).filter(
         (F.col("fetched_at") >= since) & has_topic("topic_tag", topics or TOPICS, compat)
     )
@@ -73,16 +73,19 @@ def by_journal(items: DataFrame, bounded: bool = True) -> DataFrame:
 
 
 def top_journals(items: DataFrame, n: int = 5) -> DataFrame:
-    """Journals with most items; the one met first in newest-first order wins a tie."""
-    age = F.struct(-F.unix_micros(F.col("fetched_at").cast("timestamp")), F.col("uid"))
-    return (
+    """Journals with most items; the one met first in newest-first order wins a tie.
+
+    Counting per journal and time first leaves one candidate for "met first" per group, so both steps combine
+    map-side.
+    """
+    per_time = (
         items.filter(F.nullif("journal", F.lit("")).isNotNull())
-        .groupBy("journal")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(age).alias("_met"))
-        .orderBy(F.desc("n"), "_met")
-        .limit(n)
-        .select("journal", "n", F.struct((-F.col("n")).alias("k"), "_met").alias("_order"))
+        .groupBy("journal", "fetched_at")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("uid"))
     )
+    totals = per_time.groupBy("journal").agg(F.sum("n").alias("n"), F.max(F.struct("fetched_at", "uid")).alias("met"))
+    order = [F.desc("n"), F.desc_nulls_last("met.fetched_at"), F.asc("met.uid")]
+    return bounded_rank(totals.orderBy(*order).limit(n), [], order, "place").select("journal", "n", "place")
 
 
 def digest_summary(items: DataFrame, compat: bool = False) -> DataFrame:
@@ -107,7 +110,7 @@ def _summary(items: DataFrame, compat: bool = False) -> DataFrame:
     coverage = top_journals(items).agg(
         F.array_join(
             F.transform(
-                F.array_sort(F.collect_list(F.struct("_order", "journal", "n"))),
+                F.array_sort(F.collect_list(F.struct("place", "journal", "n"))),
                 lambda j: F.concat(j["journal"], F.lit("×"), j["n"].cast("string")),
             ),
             ", ",
@@ -232,4 +235,5 @@ def listing_header(run_ts: datetime, topics: Sequence[str] | None = None) -> str
 
 
 def iso_seconds(c: Column | str) -> Column:
-    return F.date_format(as_col(c), "yyyy-MM-dd'T'HH:mm:ss")
+    text = as_col(c).cast("timestamp_ntz").cast("string")
+    return F.concat(F.substr(text, F.lit(1), F.lit(10)), F.lit("T"), F.substr(text, F.lit(12), F.lit(8)))

@@ -146,9 +146,10 @@ def _articles(spark):
 
 def test_backfill_job(spark):
     articles = _articles(spark)
-    records = spark.createDataFrame(
-        [("https://j.org/a", "Review", "J", "2024-01-02", " about llm ", "text/html", None), ("https://j.org/c", None, None, None, None, None, "HTTP 404")],
-        "url string, type string, journal string, date_published string, abstract string, content_type string, error string")
+    html = ('<meta name="citation_article_type" content="Review"><meta name="citation_journal_title" content="J">'
+            '<meta name="citation_publication_date" content="2024-01-02"><meta name="description" content=" about llm ">')
+    landed = [("https://j.org/a", "text/html", html, None), ("https://j.org/a", None, None, "HTTP 500"), ("https://j.org/c", None, None, "HTTP 404")]
+    records = spark.createDataFrame(landed, schemas.PAGE_PAYLOADS)
     candidates = backfill.range_candidates(articles)
     sources = backfill.prepare_backfill(candidates, backfill.page_probes(candidates, records))
     work = {r.text: r.src_hash for r in backfill.translation_work(sources).collect()}
