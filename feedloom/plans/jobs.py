@@ -35,7 +35,7 @@ def run_digest(
     since_days: int = reports.DIGEST_DAYS,
     limit: int = reports.DIGEST_LIMIT,
 ) -> int:
-    """Write the Markdown digest; without a limit also one folder per journal would suit, see ``text_sinks``."""
+    """Write the Markdown digest; for one without a limit see also ``write_digest_by_journal``."""
     mark = stage_mark()
     since = (run_ts - timedelta(days=since_days)).date()
     articles = tables.read_articles(spark, store.path("articles"), first=since)
