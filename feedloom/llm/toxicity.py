@@ -6,7 +6,9 @@ fitted to them; forward-backward marginals of its words give toxic spans, and a
 fitted on the same documents, gives the document's score.
 
 The fit takes a bounded sample of labelled rows: at most ``TOXIC_ROWS`` toxic and ``CLEAN_ROWS`` clean ones, those with
-the smallest hash of their id, and of them ``CHAIN_WORDS`` words at most for the chain. Scoring reads whole texts.
+the smallest hash of their id. Near copies among them would pass off any of their words as evidence, so only texts with
+mostly new word sequences are learnt from; a quarter of those fits the score, the rest the chain, on at most
+``CHAIN_WORDS`` words. Scoring reads whole texts.
 
 Defined results: null and empty texts have no words and the score of a document without evidence; a null id is held out
 and never learnt from; labels that repeat an id count as toxic if one of them does, null labels are none; without labels
@@ -28,15 +30,15 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import Rows, map_batches
 
-TOXIC_ROWS, CLEAN_ROWS, CHAIN_WORDS = 2_000, 6_000, 400_000
-BUCKETS = 1 << 18
+TOXIC_ROWS, CLEAN_ROWS, CHAIN_WORDS = 1_500, 3_000, 300_000
 FOLDS = 5
 _EDGE = ".,;:!?\"'()[]{}<>*_-`"
 _SHOWN = 0.5
 
 
 class Model(NamedTuple):
-    weights: np.ndarray  # of hashed features, for the toxic state against the other
+    weights: dict[str, float]  # of features, for the toxic state against the other
+    bias: float
     stay: np.ndarray  # 2 x 2, exponentiated transition scores
     lift: np.ndarray  # intercept and weights of the document's logistic function
 
@@ -79,8 +81,17 @@ def evidence(texts: list[str], toxic: list[int], least: float = 20.0, ratio: flo
     return found
 
 
-def _hashed(word: str) -> list[int]:
-    return [xxhash.xxh32_intdigest(f) % BUCKETS for f in word_features(word)]
+def diverse(texts: list[str], new: float = 0.7) -> list[int]:
+    """Positions of texts whose runs of five words are mostly not in texts taken before."""
+    seen: set[int] = set()
+    out = []
+    for i, text in enumerate(texts):
+        w = text.split()
+        runs = {hash(x) for x in zip(w, w[1:], w[2:], w[3:], w[4:])} or {hash(text)}
+        if len(runs - seen) >= new * len(runs):
+            out.append(i)
+            seen |= runs
+    return out
 
 
 def marginals(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, stay: np.ndarray) -> np.ndarray:
@@ -112,8 +123,9 @@ def marginals(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, stay:
     return out
 
 
-def fit_chain(texts: list[str], toxic: list[int], marks: set[str], rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
+def fit_chain(texts: list[str], toxic: list[int], marks: set[str], rounds: int = 50) -> tuple[dict[str, float], float, np.ndarray]:
     """Weights and transitions by gradient steps on the conditional likelihood, for sequences of up to 256 words."""
+    known: dict[str, int] = {"": 0}
     memo: dict[str, tuple[list[int], bool]] = {}
     rows, labels, lengths = [], [], []
     left = {0: CHAIN_WORDS // 2, 1: CHAIN_WORDS // 2}
@@ -127,39 +139,32 @@ def fit_chain(texts: list[str], toxic: list[int], marks: set[str], rounds: int =
             lengths.append(len(part))
             for w in part:
                 if w not in memo:
-                    memo[w] = _hashed(w), any(f in marks for f in word_features(w))
+                    features = word_features(w)
+                    memo[w] = [known.setdefault(f, len(known)) for f in features], any(f in marks for f in features)
                 rows.append(memo[w][0])
                 labels.append(y and memo[w][1])
     width = max(map(len, rows), default=1)
-    index = np.full((len(rows), width), BUCKETS)
-    for i, r in enumerate(rows):
-        index[i, :len(r)] = r
-    used, flat = np.unique(index, return_inverse=True)
-    flat = flat.reshape(index.shape)
+    index = np.array([r + [0] * (width - len(r)) for r in rows])
     y, lengths = np.array(labels, float), np.array(lengths)
     starts = np.cumsum(lengths) - lengths
-    w, bias, log_t = np.zeros(len(used)), -3.0, np.zeros((2, 2))
-    sums = [np.full(len(used), 1e-2), 1e-2]
     inner = np.ones(len(y), bool)
     inner[starts] = False
+    log_t = np.zeros((2, 2))
     for a in (0, 1):  # transitions as counted, smoothed
         for b in (0, 1):
             log_t[a, b] = np.log(((y[np.flatnonzero(inner) - 1] == a) & (y[inner] == b)).sum() + 1.0)
         log_t[a] -= np.log(np.exp(log_t[a]).sum())
-    pad = np.flatnonzero(used == BUCKETS)
+    w, bias, sums = np.zeros(len(known)), -3.0, [np.full(len(known), 1e-2), 1e-2]
     for _ in range(rounds):
-        w[pad] = 0
-        p = marginals(w[flat].sum(axis=1) + bias, starts, lengths, np.exp(log_t))
+        p = marginals(w[index].sum(axis=1) + bias, starts, lengths, np.exp(log_t))
         error = p - y
-        grad = np.bincount(flat.ravel(), np.repeat(error, width), len(used)) + 1e-2 * w
+        grad = np.bincount(index.ravel(), np.repeat(error, width), len(known)) + 1e-2 * w
+        grad[0] = 0
         sums[0] += grad * grad
         sums[1] += error.sum() ** 2
         w -= 0.5 * grad / np.sqrt(sums[0])
         bias -= 0.5 * error.sum() / np.sqrt(sums[1])
-    weights = np.zeros(BUCKETS + 1)
-    weights[used] = w
-    weights[BUCKETS] = bias
-    return weights, np.exp(log_t)
+    return {f: float(w[k]) for f, k in known.items() if abs(w[k]) > 1e-3}, bias, np.exp(log_t)
 
 
 def _document_features(p: np.ndarray) -> tuple[float, float]:
@@ -180,11 +185,12 @@ def fit_lift(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class Scorer:
-    def __init__(self, model: Model, memo_words: int = 1_000_000) -> None:
+    def __init__(self, model: Model, memo_words: int = 600_000) -> None:
         self.model, self.limit, self.memo = model, memo_words, {}
 
     def word(self, w: str) -> float:
-        s = float(self.model.weights[_hashed(w)].sum() + self.model.weights[BUCKETS])
+        get = self.model.weights.get
+        s = self.model.bias + sum(get(f, 0.0) for f in word_features(w))
         if len(self.memo) >= self.limit:
             self.memo.clear()
         if len(w) <= 64:
@@ -231,13 +237,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     picked = docs.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     rows = picked.join(F.broadcast(chosen), "label_id").select("label_id", "text", "toxic").collect()  # bounded by the sample
     rows.sort(key=lambda r: (xxhash.xxh64_intdigest(str(r["label_id"])), r["text"]))
+    rows = [rows[i] for i in diverse([r["text"] for r in rows])]
     texts, toxic = [r["text"] for r in rows], [int(r["toxic"] == 1) for r in rows]
     if not 0 < sum(toxic) < len(toxic):
-        return Model(np.zeros(BUCKETS + 1), np.ones((2, 2)), np.zeros(3))
-    weights, stay = fit_chain(texts, toxic, evidence(texts, toxic))
-    scorer = Scorer(Model(weights, stay, np.zeros(3)))
-    x = [_document_features(p) for at in range(0, len(texts), 500) for p in scorer.marginals(texts[at:at + 500])]
-    return Model(weights, stay, fit_lift(np.array(x), np.array(toxic, float)))
+        return Model({}, 0.0, np.ones((2, 2)), np.zeros(3))
+    return fit_texts(texts, toxic)
+
+
+def fit_texts(texts: list[str], toxic: list[int]) -> Model:
+    """The chain from three quarters of the texts, the document's score from the other quarter."""
+    part = lambda x, k: [v for i, v in enumerate(x) if (i % 4 == 3) == k]
+    chain, lift = part(texts, False), part(texts, True)
+    y, lift_y = part(toxic, False), part(toxic, True)
+    if not 0 < sum(y) < len(y) or not 0 < sum(lift_y) < len(lift_y):
+        chain, y, lift, lift_y = texts, toxic, texts, toxic
+    weights, bias, stay = fit_chain(chain, y, evidence(chain, y))
+    scorer = Scorer(Model(weights, bias, stay, np.zeros(3)))
+    x = [_document_features(p) for p in scorer.marginals(lift)]
+    return Model(weights, bias, stay, fit_lift(np.array(x), np.array(lift_y, float)))
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
