@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -51,7 +52,7 @@ def slices(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
     texts = [c for c in batch.columns if pa.types.is_string(c.type) or pa.types.is_large_string(c.type)]
     sizes = [0] * batch.num_rows
     for column in texts:
-        for i, n in enumerate(pa.compute.binary_length(column).fill_null(0).to_pylist()):
+        for i, n in enumerate(pc.binary_length(column).fill_null(0).to_pylist()):
             sizes[i] += n
     start = total = 0
     for i, n in enumerate(sizes):

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -172,8 +173,8 @@ _ANSWER = "doc long, anchors binary, owners binary, hot binary"
 def _answer(table: pa.Table) -> pa.Table:
     """What a bucket knows of its anchors, for each document that asked and shares one."""
     names = [x.split()[0] for x in _ANSWER.split(", ")]
-    given = table.filter(pa.compute.is_valid(table["doc"]))
-    asked = table.filter(pa.compute.is_null(table["doc"]))
+    given = table.filter(pc.is_valid(table["doc"]))
+    asked = table.filter(pc.is_null(table["doc"]))
     join = lambda name, kind: np.frombuffer(b"".join(asked[name].to_pylist()), kind)
     anchor, doc, flag = join("anchors", np.uint64), join("docs", np.int64), join("hot", np.uint8)
     passed = pa.table([given["doc"], given["anchors"], given["docs"], given["hot"]], names=names)
