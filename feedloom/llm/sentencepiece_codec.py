@@ -17,6 +17,7 @@ import re
 from collections.abc import Iterable
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -93,38 +94,37 @@ class Codec:
         self.marked, self.bare = Memo(self.stream, SPACE), Memo(self.stream, "")
         self.by_words = not any(b == SPACE != a for a, b in self.lattice.pairs)
         self.break_id = None if any("\n" in p for p in self.lattice.pairs) else Encoder(self.lattice).piece_ids("\n")
-        self.byte_of = {i: b for b, i in enumerate(self.pieces.byte_ids)}
+        self.shown = [n.replace(SPACE, " ").encode() for n in self.pieces.names]
+        for byte, i in enumerate(self.pieces.byte_ids):
+            self.shown[i] = bytes([byte])
 
     def stream(self, text: str) -> list[int]:
         encoder = Encoder(self.lattice)
         return encoder.feed(text) + encoder.finish()
 
     def encode(self, text: str) -> list[int]:
+        return list(chain.from_iterable(self.runs(text)))
+
+    def runs(self, text: str) -> list[list[int]]:
+        """The ids of a text, in runs between boundaries."""
         text = self.lattice.surface(text)
         if not self.by_words:
-            return self.stream(text)
-        ids: list[int] = []
+            return [self.stream(text)]
+        runs: list[list[int]] = []
         for k, line in enumerate(text.split("\n") if self.break_id else [text]):
             if k:
-                ids += self.break_id
+                runs.append(self.break_id)
             if SPACE + SPACE in line:
-                for word in re.findall(f"{SPACE}+[^{SPACE}]*|^[^{SPACE}]+", line):
-                    ids += self.bare[word]
+                runs += [self.bare[word] for word in re.findall(f"{SPACE}+[^{SPACE}]*|^[^{SPACE}]+", line)]
             else:
                 first, *words = line.split(SPACE)
                 if first:
-                    ids += self.bare[first]
-                ids += chain.from_iterable(map(self.marked.__getitem__, words))
-        return ids
+                    runs.append(self.bare[first])
+                runs += map(self.marked.__getitem__, words)
+        return runs
 
     def decode(self, ids: list[int]) -> str:
-        names, byte_of, out = self.pieces.names, self.byte_of, bytearray()
-        for i in ids:
-            b = byte_of.get(i)
-            if b is None:
-                out += names[i].replace(SPACE, " ").encode()
-            else:
-                out.append(b)
+        out = b"".join(map(self.shown.__getitem__, ids))
         text = out.decode(errors="replace")
         return text[1:] if self.pieces.dummy_prefix and text.startswith(" ") else text
 
@@ -136,11 +136,12 @@ def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column(1).to_pylist()
-            ids = [None if t is None else codec.encode(t) for t in texts]
-            exact = [i is None or codec.decode(i) == t for i, t in zip(ids, texts)]
-            return pa.record_batch([
-                batch.column(0), pa.array([len(i or ()) for i in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(exact, pa.bool_()),
-            ], names=[id_col, "n_ids", "ids", "exact"])
+            ids = [[] if t is None else codec.encode(t) for t in texts]
+            counts = np.array([len(i) for i in ids], np.int64)
+            flat = np.fromiter(chain.from_iterable(ids), np.int32, counts.sum())
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(flat), mask=pa.array([t is None for t in texts]))
+            exact = [t is None or codec.decode(i) == t for i, t in zip(ids, texts)]
+            return pa.record_batch([batch.column(0), pa.array(counts), lists, pa.array(exact, pa.bool_())], names=[id_col, "n_ids", "ids", "exact"])
 
         return step
 

@@ -1,6 +1,6 @@
 """WARC archives: write pages as records, and read records back.
 
-``write_archives`` makes text files of WARC/1.1 records. Bodies use chunked transfer framing; a body above
+``write_archives`` makes compressed text files of WARC/1.1 records. Bodies use chunked transfer framing; a body above
 ``segment_bytes`` continues in further records, which name the first one (``WARC-Segment-Origin-ID``) and count up
 (``WARC-Segment-Number``); the last states the total length. Chunks are cut so that the version line which starts a
 record never occurs inside one: Spark's text reader can then split an archive of any size at record starts.
@@ -127,12 +127,12 @@ def write_archives(planned: DataFrame, path: str | None = None, segment_bytes: i
     """Write the records that ``plan_records`` planned; returns the folder of the archives, in the shared folder if
     none is named."""
     path = path or fresh_path(planned.sparkSession, "warc")
-    map_batches(planned, _encode(segment_bytes, chunk_chars), "value string").write.option("lineSep", "\r\n").text(path)
+    map_batches(planned, _encode(segment_bytes, chunk_chars), "value string").write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
     return path
 
 
 _PARSED = """page_id long, record_type string, digest string, refers_to long, payload_length long, record_id string,
- origin string, segment int, total long, body binary"""
+ origin string, segment int, total long, body binary, payload binary"""
 
 
 def _parse():
@@ -148,33 +148,35 @@ def _parse():
             body = rest[:int(h["content-length"])]
             if rest[len(body):] not in (b"\r\n\r\n", b"\r\n"):
                 raise ValueError("record does not end where its length says")
-            refers = h.get("warc-refers-to")
+            refers, part = h.get("warc-refers-to"), "warc-segment-number" in h
             for k, v in (
                 ("page_id", number(h.get("x-page-id"))), ("record_type", h["warc-type"]),
                 ("digest", h.get("warc-payload-digest", "").removeprefix("sha1:") or None),
                 ("refers_to", None if refers is None else int(refers[len("<urn:page:"):-1])),
                 ("payload_length", number(h.get("x-payload-length"))), ("record_id", h["warc-record-id"]),
                 ("origin", h.get("warc-segment-origin-id")), ("segment", number(h.get("warc-segment-number"))),
-                ("total", number(h.get("warc-segment-total-length"))), ("body", body),
+                ("total", number(h.get("warc-segment-total-length"))), ("body", body if part else None),
+                ("payload", None if part else _payload(h["warc-type"], body)),
             ):
                 out[k].append(v)
-        types = {"page_id": pa.int64(), "refers_to": pa.int64(), "payload_length": pa.int64(), "segment": pa.int32(), "total": pa.int64(), "body": pa.binary()}
+        types = {"page_id": pa.int64(), "refers_to": pa.int64(), "payload_length": pa.int64(), "segment": pa.int32(), "total": pa.int64(), "body": pa.binary(), "payload": pa.binary()}
         return pa.record_batch({k: pa.array(v, types.get(k, pa.string())) for k, v in out.items()})
 
     return step
 
 
-def _decode():
-    def payload(kind: str, body: bytes) -> bytes | None:
-        head, _, rest = body.partition(b"\r\n\r\n")
-        if kind == "revisit":
-            return None
-        return dechunk(rest) if b"transfer-encoding: chunked" in head.lower() else rest
+def _payload(kind: str, body: bytes) -> bytes | None:
+    head, _, rest = body.partition(b"\r\n\r\n")
+    if kind == "revisit":
+        return None
+    return dechunk(rest) if b"transfer-encoding: chunked" in head.lower() else rest
+
 
+def _decode():
+    """The payloads of continued records, whose bodies come as lists of parts."""
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [payload(k, b) for k, b in zip(batch.column("record_type").to_pylist(), map(b"".join, batch.column("body").to_pylist()))]
-        return batch.set_column(batch.schema.get_field_index("body"), "body", pa.array(found, pa.binary())).rename_columns(
-            ["payload" if n == "body" else n for n in batch.schema.names])
+        found = [_payload(k, b"".join(b)) for k, b in zip(batch.column("record_type").to_pylist(), batch.column("body").to_pylist())]
+        return batch.set_column(batch.schema.get_field_index("body"), "payload", pa.array(found, pa.binary()))
 
     return step
 
@@ -188,7 +190,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.option("lineSep", VERSION).text(path)
     records = map_batches(raw, _parse, _PARSED)
     keys = ("page_id", "record_type", "digest", "refers_to", "payload_length")
-    whole = records.where("segment is null").select(*keys, "body")
+    whole = records.where("segment is null").select(*keys, "payload")
     joined = records.where("segment is not null").groupBy(F.coalesce("origin", "record_id").alias("origin")).agg(
         *(F.min_by(k, "segment").alias(k) for k in keys), F.max("segment").alias("n"), F.max("total").alias("total"),
         F.sort_array(F.collect_list(F.struct("segment", "body"))).alias("parts"),
@@ -197,5 +199,5 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     ordered = F.transform("parts", lambda p: p["segment"]) == F.sequence(F.lit(1), F.size("parts"))
     checked = F.when(ordered & (length == F.col("total")), F.transform("parts", lambda p: p["body"])).otherwise(
         F.raise_error(F.concat(F.lit("broken segments of "), F.col("origin"))).cast("array<binary>"))
-    bodies = whole.withColumn("body", F.array("body")).unionByName(joined.select(*keys, checked.alias("body")))
-    return map_batches(bodies, _decode, "page_id long, record_type string, digest string, refers_to long, payload_length long, payload binary")
+    schema = "page_id long, record_type string, digest string, refers_to long, payload_length long, payload binary"
+    return whole.unionByName(map_batches(joined.select(*keys, checked.alias("body")), _decode, schema))
