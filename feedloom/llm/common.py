@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from feedloom.session import fresh_path
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 Rows = Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table]
 
 
@@ -21,10 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage of what several later steps read, by a table in the shared folder; a lost executor costs a
-    re-read. The folder belongs to the cluster, which removes it with the application."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    re-read. The folder belongs to the cluster, which removes it with the application. The shuffle files of the write
+    have no further reader, so Spark removes them at its end."""
+    spark = df.sparkSession
+    path, before = fresh_path(spark, label), spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def map_batches(df: DataFrame, fn: Callable[[], Rows], schema: StructType | str, chars: int = 4 << 20) -> DataFrame:
