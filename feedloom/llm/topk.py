@@ -123,13 +123,14 @@ def top_k(rows: DataFrame, id_col: str = "vec_id", vector: str = "embedding", k:
     blocks = stage(_packed(vectors, chunk), "blocks")
     found = stage(vectors.where(F.pmod("vec_id", F.lit(stride)) == 0).repartition("vec_id").select(
         F.col("vec_id").alias("query_id"), "v", F.array().cast("array<long>").alias("scores"), F.array().cast("array<long>").alias("ids")), "best")
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     for ids in _chunks(blocks, chunk):
         taken = blocks.where(F.col("block").isin(ids)).collect()  # at most ``chunk`` rows
         shared = spark.sparkContext.broadcast((
             np.concatenate([np.frombuffer(r["ids"], np.int64) for r in taken]),
             np.concatenate([np.frombuffer(r["vectors"], np.int64).reshape(-1, r["width"]) if r["width"] == width else
                             np.pad(np.frombuffer(r["vectors"], np.int64).reshape(-1, r["width"]), ((0, 0), (0, width - r["width"]))) for r in taken]), axes))
-        found = stage(map_batches(found, _search(shared, k), found.schema, 1 << 30), "best")
+        found = stage(map_batches(found.repartition(tasks), _search(shared, k), found.schema, 1 << 30), "best")
         least = F.when(F.size("scores") == k, F.element_at("scores", -1)).otherwise(F.lit(-1 << 62)).cast("double")
         own = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c))
         following = blocks.where(F.col("block") > max(ids)).agg(F.max("norm2")).head()[0]
