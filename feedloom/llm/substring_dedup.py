@@ -11,7 +11,9 @@ corpus itself, so its automata have no size bound and are not broadcast: matchin
 3. *Automata.* A shard builds suffix automata over its segments, in blocks of bounded size, with the smallest document
    of each state. Streaming the segments through them gives matching statistics, capped at the window's length, and
    so the first document of each window.
-4. *Removal.* Segments return to their documents; windows with a smaller first document are removed.
+4. *Removal.* Segments return to their documents; windows with a smaller first document are removed. A window of a hot
+   anchor is removed unless its shard names the document as its first: one message for each distinct window, however
+   many documents have it.
 
 Defined results: a null text has no words; a row with a null id loses nothing and is no reference; rows that repeat an
 id are not copies of each other; documents shorter than a window keep all words; an empty table gives no rows. Extra
@@ -197,13 +199,15 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.concat_tables([mine, passed.cast(mine.schema)])
 
 
-_SEGMENT = "doc long, version long, start int, route long, words binary"
+COLD, HOT, HOT_STARTS = 0, 1, 2
+_SEGMENT = "kind int, doc long, version long, start int, route long, words binary"
 
 
 def _segments(window: int):
-    """Runs of windows with shared anchors; the batch has doc, version, text and the lists of answers."""
+    """Runs of windows with shared anchors, single windows of hot ones, and where a document has the latter; the batch
+    has doc, version, text and the answers."""
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], []]
         cols = [c.to_pylist() for c in batch.columns]
         for doc, version, text, answers in zip(*cols):
             gather = lambda name, kind: np.frombuffer(b"".join(x[name] for x in answers), kind)
@@ -218,18 +222,30 @@ def _segments(window: int):
             owners = gather("owners", np.int64)[order][at]
             heat = gather("hot", np.uint8)[order][at] > 0
             cut = np.flatnonzero(np.r_[True, (ok[1:] != ok[:-1]) | (owners[1:] != owners[:-1]) | heat[1:] | heat[:-1], True])
+            rows, seen = [], set()
             for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
                 if ok[a]:
                     part = b" ".join(words[a:b + window - 1])
-                    route = xxhash.xxh64_intdigest(part) - (1 << 63) if heat[a] else int(owners[a])
-                    for column, value in zip(out, (doc, version, a, route, part)):
-                        column.append(value)
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+                    if not heat[a]:
+                        rows.append((COLD, a, int(owners[a]), part))
+                    elif part not in seen:
+                        seen.add(part)
+                        rows.append((HOT, a, window_key(part), part))
+            if seen:
+                rows.append((HOT_STARTS, -1, 0, np.flatnonzero(ok & heat).astype(np.int32).tobytes()))
+            for kind, start, route, part in rows:
+                for column, value in zip(out, (kind, doc, version, start, route, part)):
+                    column.append(value)
+        types = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
         return pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], names=[x.split()[0] for x in _SEGMENT.split(", ")])
 
     return step
 
 
+def window_key(words: bytes) -> int:
+    return xxhash.xxh64_intdigest(words) - (1 << 63)
+
+
 def first_documents(segments: list[list], docs: list[int], window: int, block_words: int = SHARD_WORDS) -> list[list[int]]:
     """For each window of each segment the smallest document among those of equal windows, block by block."""
     best = [[1 << 62] * (len(s) - window + 1) for s in segments]
@@ -249,7 +265,7 @@ def first_documents(segments: list[list], docs: list[int], window: int, block_wo
     return best
 
 
-_FIRSTS = "route long, words binary, firsts array<long>"
+_FIRSTS = "kind int, route long, words binary, firsts array<long>"
 
 
 def _shards(window: int, block_words: int = SHARD_WORDS):
@@ -258,11 +274,14 @@ def _shards(window: int, block_words: int = SHARD_WORDS):
         kept = []
         # Routes are apart by their words' windows, so several small ones may share an automaton.
         firsts = first_documents([r[1].split(b" ") for r in rows], [r[2] for r in rows], window, block_words)
-        for (route, words, _, last), found in zip(rows, firsts):
-            if min(found) < last:  # some document has to lose something
-                kept.append((route, words, found))
-        cols = list(zip(*kept)) or [(), (), ()]
-        return pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.list_(pa.int64()))], names=["route", "words", "firsts"])
+        for (route, words, _, last, kind), found in zip(rows, firsts):
+            if kind == HOT:  # its first document keeps it
+                kept.append((kind, route, None, found))
+            elif min(found) < last:  # some document has to lose something
+                kept.append((kind, route, words, found))
+        cols = list(zip(*kept)) or [(), (), (), ()]
+        types = (pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+        return pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], names=["kind", "route", "words", "firsts"])
 
     def run(batches):
         rows: list[tuple] = []
@@ -281,7 +300,7 @@ def _shards(window: int, block_words: int = SHARD_WORDS):
 
 
 def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc, version, parts``: per document and text (its hash) the windows to remove, as starts with flags."""
+    """``doc, parts``: what documents lose, for ``_gone``; each part names the text (its hash) or is for all of the id."""
     spark = docs.sparkSession
     buckets = 4 * max(32, int(spark.conf.get("spark.sql.shuffle.partitions")))
     source = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
@@ -290,27 +309,41 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
     lists = answers.groupBy("doc").agg(F.collect_list(F.struct("anchors", "owners", "hot")).alias("answers"))
     met = source.join(lists, "doc").select("doc", F.xxhash64("text").alias("version"), "text", "answers")
     segments = stage(map_batches(met, lambda: _segments(window), _SEGMENT), "segments")
-    distinct = segments.groupBy("route", "words").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    firsts = distinct.repartition("route").sortWithinPartitions("route").mapInArrow(_shards(window), _FIRSTS)
-    hit = segments.join(firsts, ["route", "words"]).select(
+    distinct = segments.where(F.col("kind") != HOT_STARTS).groupBy("route", "words", "kind").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    dealt = distinct.select("route", "words", "first", "last", "kind").repartition("route").sortWithinPartitions("route")
+    firsts = stage(dealt.mapInArrow(_shards(window), _FIRSTS), "firsts")
+    no = {"version": "long", "start": "int", "gone": "array<boolean>", "hot": "binary", "kept": "long"}
+    part = lambda **has: F.struct(*(has.get(k, F.lit(None).cast(t)).alias(k) for k, t in no.items())).alias("part")
+    cold = segments.where(F.col("kind") == COLD).join(firsts.where(F.col("kind") == COLD).drop("kind"), ["route", "words"]).select(
         "doc", "version", "start", F.transform("firsts", lambda f: f < F.col("doc")).alias("gone")).where(F.exists("gone", lambda g: g))
-    return hit.groupBy("doc", "version").agg(F.collect_set(F.struct("start", "gone")).alias("parts"))
+    hot = segments.where(F.col("kind") == HOT_STARTS)
+    kept = firsts.where(F.col("kind") == HOT)
+    parts = cold.select("doc", part(version=F.col("version"), start=F.col("start"), gone=F.col("gone"))).unionByName(
+        hot.select("doc", part(version=F.col("version"), hot=F.col("words")))).unionByName(
+        kept.select(F.element_at("firsts", 1).alias("doc"), part(kept=F.col("route"))))
+    return parts.groupBy("doc").agg(F.collect_set("part").alias("parts"))
 
 
-def _gone(n: int, parts: list[dict] | None, window: int) -> np.ndarray:
-    """Which of ``n`` words are covered by a removed window."""
-    step = np.zeros(n + 1, np.int64)
+def _gone(words: list[bytes], version: int, parts: list[dict] | None, window: int) -> np.ndarray:
+    """Which words are covered by a removed window."""
+    step, kept = np.zeros(len(words) + 1, np.int64), {p["kept"] for p in parts or ()}
     for p in parts or ():
-        at = p["start"] + np.flatnonzero(p["gone"])
+        if p["version"] != version:
+            continue
+        if p["hot"] is not None:
+            starts = np.frombuffer(p["hot"], np.int32).tolist()
+            at = np.array([i for i in starts if window_key(b" ".join(words[i:i + window])) not in kept], np.int64)
+        else:
+            at = p["start"] + np.flatnonzero(p["gone"])
         np.add.at(step, at, 1)
         np.add.at(step, at + window, -1)
     return np.cumsum(step[:-1]) > 0
 
 
 def _with_parts(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    parts = removals(docs, window, id_col, text_col).select(F.col("doc").alias("dedup_doc"), F.col("version").alias("dedup_version"), F.col("parts").alias("dedup_parts"))
-    same = (docs[id_col].cast("long") == F.col("dedup_doc")) & (F.xxhash64(docs[text_col]) == F.col("dedup_version"))
-    return docs.join(parts, same, "left").drop("dedup_doc", "dedup_version")
+    """``docs`` with ``dedup_parts`` and ``dedup_version``."""
+    parts = removals(docs, window, id_col, text_col).select(F.col("doc").alias("dedup_doc"), F.col("parts").alias("dedup_parts"))
+    return docs.join(parts, docs[id_col].cast("long") == F.col("dedup_doc"), "left").drop("dedup_doc").withColumn("dedup_version", F.xxhash64(text_col))
 
 
 def dedup_digest(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -318,9 +351,9 @@ def dedup_digest(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     def make() -> Rows:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             n, removed, digest = [], [], []
-            for text, parts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for text, parts, version in zip(*(c.to_pylist() for c in batch.columns[1:])):
                 words = words_of(text)
-                gone = _gone(len(words), parts, window)
+                gone = _gone(words, version, parts, window)
                 n.append(len(words))
                 removed.append(int(gone.sum()))
                 digest.append(hex_digest(b" ".join(w for w, g in zip(words, gone.tolist()) if not g) if removed[-1] else b" ".join(words)))
@@ -331,7 +364,7 @@ def dedup_digest(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
 
     rows = docs.select(id_col, text_col)
     schema = f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string"
-    return map_batches(_with_parts(rows, window, id_col, text_col).select(id_col, text_col, "dedup_parts"), make, schema)
+    return map_batches(_with_parts(rows, window, id_col, text_col).select(id_col, text_col, "dedup_parts", "dedup_version"), make, schema)
 
 
 def dedup_texts(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -341,18 +374,16 @@ def dedup_texts(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
     def make() -> Rows:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             at, new = batch.schema.get_field_index(text_col), []
-            for text, parts in zip(batch.column(at).to_pylist(), batch.column("dedup_parts").to_pylist()):
-                if parts:
-                    words = words_of(text)
-                    gone = _gone(len(words), parts, window).tolist()
-                    text = b" ".join(w for w, g in zip(words, gone) if not g).decode()
-                new.append(text)
+            for text, parts, version in zip(*(batch.column(c).to_pylist() for c in (text_col, "dedup_parts", "dedup_version"))):
+                words = words_of(text)
+                gone = _gone(words, version, parts, window)
+                new.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g).decode() if gone.any() else text)
             return batch.set_column(at, text_col, pa.array(new, batch.column(at).type))
 
         return step
 
     out = map_batches(joined, make, joined.schema)
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("dedup_parts").isNotNull(), F.length(text_col).cast(kind)).otherwise(F.col("n_chars")))
+        changed = F.xxhash64(text_col) != F.col("dedup_version")
+        out = out.withColumn("n_chars", F.when(changed, F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
