@@ -94,9 +94,9 @@ def rewrite_text(df: DataFrame, fn: Callable[[], Callable[[list], list]], text:
     return map_batches(df, make, df.schema)
 
 
-def row_keys(df: DataFrame, label: str, *columns: str) -> DataFrame:
-    """The named columns beside a unique ``row_key``; the table is written, so that the key stays what it is."""
-    return stage(df.select(F.monotonically_increasing_id().alias("row_key"), *columns), label)
+def row_keys(df: DataFrame, key: str, *columns: str) -> DataFrame:
+    """The named columns beside a unique ``key``; the table is written, so that the key stays what it is."""
+    return stage(df.select(F.monotonically_increasing_id().alias(key), *columns), key)
 
 
 def hex_digest(data: bytes) -> str:

@@ -131,20 +131,20 @@ def scan_documents(docs: DataFrame, bench: DataFrame, n: int = N, id_col: str =
     sc = docs.sparkSession.sparkContext
     blocks = [*map(sc.broadcast, blocks_of(stage(benchmark_windows(bench, n), "bench"), limit))]
     one = len(blocks) == 1
-    rows = docs.select(id_col, text_col) if one else row_keys(docs, "docs", id_col, text_col)
+    rows = docs.select(id_col, text_col) if one else row_keys(docs, "scan_key", id_col, text_col)
     key_type = rows.schema[id_col].dataType.simpleString()
-    lead = f"`{id_col}` {key_type}" if one else f"row_key long, `{id_col}` {key_type}"
+    lead = f"`{id_col}` {key_type}" if one else f"scan_key long, `{id_col}` {key_type}"
     schema = f"{lead}, n_words long, spans array<struct<start:int,end:int>>, items array<string>"
     passes = [map_batches(rows, _scan(block), schema) for block in blocks]
     if one:
         return passes[0]
     total = stage(passes[0], "hits")
     for more in passes[1:]:  # a benchmark beyond one block: its results meet by the row's key
-        right = more.select("row_key", F.col("spans").alias("more_spans"), F.col("items").alias("more_items"))
-        total = stage(total.join(right, "row_key").select(
-            "row_key", id_col, "n_words", F.concat("spans", "more_spans").alias("spans"),
+        right = more.select("scan_key", F.col("spans").alias("more_spans"), F.col("items").alias("more_items"))
+        total = stage(total.join(right, "scan_key").select(
+            "scan_key", id_col, "n_words", F.concat("spans", "more_spans").alias("spans"),
             F.array_sort(F.array_union("items", "more_items")).alias("items")), "hits")
-    return map_batches(total.drop("row_key"), lambda: _merge_spans, schema.split(", ", 1)[1])
+    return map_batches(total.drop("scan_key"), lambda: _merge_spans, schema.split(", ", 1)[1])
 
 
 def _scan(block):
@@ -212,9 +212,9 @@ def remove_spans(docs: DataFrame, bench: DataFrame, n: int = N, text: str = "tex
             return change
 
         return rewrite_text(docs, make, text)
-    keyed = row_keys(docs, "docs", *docs.columns)
-    spans = scan_documents(keyed.select("row_key", text), bench, n, "row_key", text, limit).select("row_key", F.col("spans").alias("cut_spans"))
-    joined = keyed.join(spans, "row_key").drop("row_key")
+    keyed = row_keys(docs, "cut_key", *docs.columns)
+    spans = scan_documents(keyed.select("cut_key", text), bench, n, "cut_key", text, limit).select("cut_key", F.col("spans").alias("cut_spans"))
+    joined = keyed.join(spans, "cut_key").drop("cut_key")
     schema = joined.schema
 
     def make_cut() -> Rows:
