@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from feedloom.llm.bpe_lattice import SPACE, Lattice, Pieces, load_pieces
 from feedloom.llm.common import Rows, map_batches
 
-MEMO_WORDS = 300_000
+MEMO_WORDS = 700_000
 _CHECK_EVERY = 32
 
 
@@ -37,13 +37,14 @@ class Encoder:
     def feed(self, text: str) -> list[int]:
         done: list[int] = []
         state, window, step = self.state, self.window, self.lattice.step
-        for char in text:
-            move = state.get(char) or step(state, char)
-            state = move[0]
-            window.append(move[1])
-            if not len(window) % _CHECK_EVERY:
+        for at in range(0, len(text), _CHECK_EVERY):
+            if window:
                 self.widest = max(self.widest, len(window))
                 done += self.commit(self.meeting(state.depths))
+            for char in text[at:at + _CHECK_EVERY]:
+                move = state.get(char) or step(state, char)
+                state = move[0]
+                window.append(move[1])
         self.state = state
         return done
 
@@ -60,9 +61,18 @@ class Encoder:
         return max(set.intersection(*paths))
 
     def commit(self, end: int) -> list[int]:
-        cuts = [*self.path(end)][::-1]
-        ids = [i for at in cuts[1:] for i in self.piece_ids(self.window[at - 1])]
-        del self.window[:end]
+        window, at, pieces = self.window, end, []
+        while at:
+            pieces.append(window[at - 1])
+            at -= len(pieces[-1])
+        get, ids = self.lattice.pieces.ids.get, []
+        for piece in reversed(pieces):
+            known = get(piece)
+            if known is None:
+                ids += self.piece_ids(piece)
+            else:
+                ids.append(known)
+        del window[:end]
         return ids
 
     def piece_ids(self, piece: str) -> list[int]:

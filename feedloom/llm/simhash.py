@@ -102,7 +102,7 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Da
     dealt = members.select("grid", "cell", "node", "bits", "mine", F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("other")).select(
         "grid", "cell", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "bits")
     keys = ["grid", "cell", "i", "j"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_cell_links(max_bits), "a long, b long").distinct()
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(_cell_links(max_bits), "a long, b long").distinct()
 
 
 def close(a: np.ndarray, b: np.ndarray, max_bits: int) -> np.ndarray:
@@ -122,15 +122,15 @@ class Forest:
     """Keeps only links that join two trees."""
 
     def __init__(self) -> None:
-        self.parent: dict[int, int] = {}
+        self.parent: dict = {}
 
-    def find(self, x: int) -> int:
+    def find(self, x):
         while (p := self.parent.get(x, x)) != x:
             self.parent[x] = self.parent.get(p, p)
             x = p
         return x
 
-    def add(self, a: int, b: int) -> bool:
+    def add(self, a, b) -> bool:
         a, b = self.find(a), self.find(b)
         self.parent[max(a, b)] = min(a, b)
         return a != b
@@ -139,7 +139,7 @@ class Forest:
 def _cell_links(max_bits: int):
     small = 64
 
-    def within(nodes: np.ndarray, bits: np.ndarray, cell: np.ndarray) -> list[tuple[int, int]]:
+    def within(nodes: np.ndarray, bits: np.ndarray, cell: np.ndarray) -> list[tuple[int, int, int]]:
         """Links inside many small cells at once: neighbours at each distance in the sorted order."""
         found = []
         for o in range(1, len(bits)):
@@ -147,7 +147,7 @@ def _cell_links(max_bits: int):
             if not len(same):
                 break
             same = same[close(bits[same], bits[same + o], max_bits)]
-            found += zip(nodes[same].tolist(), nodes[same + o].tolist())
+            found += zip(cell[same].tolist(), nodes[same].tolist(), nodes[same + o].tolist())
         return found
 
     def between(nodes: np.ndarray, bits: np.ndarray, others: np.ndarray, other_bits: np.ndarray) -> list[tuple[int, int]]:
@@ -164,14 +164,13 @@ def _cell_links(max_bits: int):
         cell = np.repeat(np.arange(len(starts)), ends - starts)
         large = (ends - starts > small) | (keys[starts, 2] != keys[starts, 3])
         pick = ~large[cell]
-        found = within(nodes[pick], bits[pick], cell[pick])
+        trees = Forest()  # one for each cell, so that no link depends on what else the batch holds
+        found = [(a, b) for k, a, b in within(nodes[pick], bits[pick], cell[pick]) if trees.add((k, a), (k, b))]
         for k in np.flatnonzero(large):
             here = slice(starts[k], ends[k])
             i, j = keys[starts[k], 2:]
             a, b = mine[here] == i, mine[here] == j
             found += between(nodes[here][a], bits[here][a], nodes[here][b], bits[here][b])
-        forest = Forest()
-        found = [(a, b) for a, b in found if forest.add(a, b)]
         both = np.array(found, np.int64).reshape(-1, 2)
         return pa.record_batch([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
