@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from feedloom.functions.identifiers import guess_doi
 from feedloom.functions.text import blank_to_null, clean_all, first_filled
 
-MAX_ITEMS_PER_FEED = 200
+MAX_ITEMS_PER_FEED = 0  # landed payloads are taken whole; a limit is the caller's choice
 
 _CORRUPT = "_corrupt_record string"
 _RSS1 = (
@@ -173,3 +173,8 @@ def feed_state(feeds: DataFrame, polls: DataFrame) -> DataFrame:
 def poll_plan(configured: DataFrame, feeds: DataFrame) -> DataFrame:
     """Configured feeds with the validators to send on the next poll."""
     return configured.join(feeds.select("feed_url", "etag", "last_modified"), "feed_url", "left")
+
+
+def failed_polls(payloads: DataFrame) -> DataFrame:
+    """Polls that the server refused or that ended in an error."""
+    return payloads.filter(F.col("status") >= 400)

@@ -13,7 +13,7 @@ from feedloom.functions.dates import iso_date_prefix
 from feedloom.functions.identifiers import DOI_LOOSE, host_in, ingest_doi, is_html_type, normalize_link, publisher_doi
 from feedloom.functions.markup import abstract_block_udf, publisher_parts_udf
 from feedloom.functions.text import as_col, clean_all, first_filled, strip, unescape_all
-from feedloom.session import is_small
+from feedloom.session import broadcast_if_small
 
 MAX_BROADCAST_URLS = 500_000
 RECORD_FIELDS = ("title", "abstract", "journal", "type", "date_published", "doi", "article_url", "raw_jsonld")
@@ -287,14 +287,12 @@ def _core_complete(record: dict[str, Column]) -> Column:
 def records_for(urls: DataFrame, page_payloads: DataFrame, compat: bool = False) -> DataFrame:
     """``(url, page)``: one record per landed page that ``urls(url)`` asks for, as a struct.
 
-    A bounded set of urls is broadcast, so other pages are dropped before they are parsed. With more urls all
-    landed pages are parsed where they lie. Either way the page text is never shuffled, only records are. Of
-    several landings of a url a readable one is preferred.
+    Pages that no url asks for are dropped before any parsing. A bounded set of urls is broadcast, and page text is
+    then never shuffled; a larger one meets the pages in a shuffle, which costs less than parsing them all. Of several
+    landings of a url a readable one is preferred.
     """
-    asked = page_payloads
     distinct = urls.select("url").filter("url IS NOT NULL").distinct()
-    if is_small(distinct, MAX_BROADCAST_URLS):
-        asked = page_payloads.join(F.broadcast(distinct), "url", "left_semi")
+    asked = page_payloads.join(broadcast_if_small(distinct, MAX_BROADCAST_URLS), "url", "left_semi")
     readable = F.col("error").isNull() & is_html_type("content_type")
     records = extract_records(asked.withColumn("html", F.when(readable, F.col("html"))), compat=compat)
     best = F.struct(readable, F.col("title").isNotNull(), F.xxhash64("content_type", "error", *RECORD_FIELDS))

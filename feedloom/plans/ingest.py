@@ -134,10 +134,11 @@ def run_ingest(
 
     counts = run_status(attempts).first()
     broken = feed_ops.broken_payloads(feed_payloads).count()
-    failures = counts["failures"] + broken
+    refused = feed_ops.failed_polls(feed_payloads).count()
+    failures = counts["failures"] + broken + refused
     status = "ok" if failures == 0 else ("partial_ok" if counts["inserted"] > 0 else "error")
     log = log_row(
-        spark, run_id, "ingest", run_ts, run_ts, status, counts["inserted"], f"fails={failures} broken_feeds={broken}"
+        spark, run_id, "ingest", run_ts, run_ts, status, counts["inserted"], f"fails={failures} broken_feeds={broken} failed_polls={refused}"
     )
     tables.append_run(log, store.path("runs_log"), schemas.RUNS_LOG, run_id)
     updated = spark.createDataFrame([(LAST_UPDATE_KEY, run_ts.isoformat(timespec="seconds"))], schemas.META)

@@ -108,7 +108,7 @@ def run_backfill(
         applied = changes.count()
         days = tables.touched_days(articles, changes)
         if days:
-            old = articles.filter(F.col(tables.DAY).isin(*days)).drop(tables.DAY)
+            old = articles.filter(tables.on_days(days)).drop(tables.DAY)
             tables.write_articles(backfill.apply_plan(old, plan, run_ts, approved), path)
     skipped = 0 if dry_run else counts["to_apply"] - applied
     notes = "; ".join([

@@ -7,10 +7,11 @@ replaces its own rows. The small mutable tables are written as new snapshots; Sp
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,12 +99,19 @@ def touched_days(articles: DataFrame, changes: DataFrame) -> list[date]:
     return [r[DAY] for r in hit.select(DAY).distinct().collect()]
 
 
+def on_days(days: Iterable[date | None]) -> Column:
+    """Rows of the given days; None stands for rows without a fetch time."""
+    known = [d for d in days if d is not None]
+    on = F.col(DAY).isin(*known)
+    return F.coalesce(on, F.lit(None in days)) if known else F.col(DAY).isNull() & F.lit(None in days)
+
+
 def merge_articles(spark: SparkSession, path: str, updates: DataFrame) -> None:
     """Upsert ``updates`` (one row per uid), reading and rewriting only the days concerned."""
     articles = read_articles(spark, path)
     days = set(touched_days(articles, updates))
     days.update(r[0] for r in updates.select(F.col("fetched_at").cast("date")).distinct().collect())
-    old = articles.filter(F.col(DAY).isin(*days)).drop(DAY)
+    old = articles.filter(on_days(days)).drop(DAY)
     write_articles(upsert_articles(old, schemas.conform(updates, schemas.ARTICLES)), path)
 
 
@@ -114,7 +122,13 @@ def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def append_run(df: DataFrame, path: str, schema: T.StructType, run_id: str) -> None:
-    """Append the rows of one run; writing the same run again replaces them."""
+    """Append the rows of one run; writing the same run again replaces them, also by no rows."""
+    spark = df.sparkSession
+    if df.isEmpty():
+        name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)
+        fs, p = _fs_path(spark, f"{path}/{RUN}={name}")
+        fs.delete(p, True)
+        return
     _overwrite_partitions(schemas.conform(df, schema).withColumn(RUN, F.lit(run_id)), path, RUN)
 
 
