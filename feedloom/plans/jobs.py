@@ -9,7 +9,6 @@ from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.functions.topics import has_topic
