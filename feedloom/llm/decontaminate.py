@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Rows, hex_digest, map_batches, rewrite_text, row_keys, stage
+from feedloom.llm.common import Rows, map_batches, rewrite_text, row_keys, stage
 
 N = 10
 BLOCK_WINDOWS = 1 << 20
