@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.identifiers import ingest_doi, lookup_doi, normalize_link
 from feedloom.functions.text import blank_to_null, json_value, sha256_hex, strip
+from feedloom.session import is_small, stage
 
 ITEM_FIELDS = ("title", "link", "id_like", "pub_date", "doi", "journal")
 HASH_DIGITS = 24
@@ -45,12 +46,19 @@ def dedupe_items(items: DataFrame) -> DataFrame:
 
 
 def unseen(items: DataFrame, seen: DataFrame) -> DataFrame:
-    """Rows whose uid is not in the ledger. ``items`` must be deduplicated, so no join key is hot."""
-    return items.join(seen.select("uid"), "uid", "left_anti")
+    """Rows whose uid is not in the ledger. ``items`` must be deduplicated, so no join key is hot.
+
+    An anti-join can broadcast only its right side, which would shuffle a large ledger for a few items; a small batch
+    is therefore sent to the ledger first, and only its hits come back.
+    """
+    if not is_small(items.select("uid")):
+        return items.join(seen.select("uid"), "uid", "left_anti")
+    known = seen.select("uid").join(F.broadcast(items.select("uid")), "uid", "left_semi").distinct()
+    return items.join(F.broadcast(known), "uid", "left_anti")
 
 
 def new_items(items: DataFrame, seen: DataFrame) -> DataFrame:
-    return unseen(dedupe_items(items), seen)
+    return unseen(stage(dedupe_items(items), "batch-items"), seen)
 
 
 def bounded_dedupe(items: DataFrame, event_time: str, delay: str) -> DataFrame:

@@ -8,11 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom import schemas
+from feedloom.session import is_small
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str, keep: Iterable[str] = ()) -> DataFrame:
-    """Rows of both tables; where keys meet the source wins, except for the ``keep`` columns."""
-    keep = set(keep)
+    """Rows of both tables; where keys meet the source wins, except for the ``keep`` columns.
+
+    For a small source the target's other rows pass by its broadcast keys, so they are neither shuffled nor sorted.
+    """
+    keys = source.select(key)
+    if not is_small(keys):
+        return _overlay(target, source, key, set(keep))
+    others, met = (target.join(F.broadcast(keys), key, how).select(*target.columns) for how in ("left_anti", "left_semi"))
+    return others.unionByName(_overlay(met, source, key, set(keep)))
+
+
+def _overlay(target: DataFrame, source: DataFrame, key: str, keep: set[str]) -> DataFrame:
     t, s = target.withColumn("_in_t", F.lit(True)).alias("t"), source.withColumn("_in_s", F.lit(True)).alias("s")
     joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
     columns = []

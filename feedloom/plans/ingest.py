@@ -19,7 +19,7 @@ from feedloom.operators.pages import reconcile, records_for
 from feedloom.operators.retries import update_pending
 from feedloom.operators.skew import heavy_keys, salted_join
 from feedloom.plans.runs import log_row, run_status
-from feedloom.session import clear_stages, stage, stage_mark
+from feedloom.session import stage, staging
 from feedloom.sources import tables
 from feedloom.sources.tables import Store
 
@@ -112,9 +112,19 @@ def run_ingest(
 ) -> dict:
     """One ingestion run. Running it again with the same ``run_id`` leaves the same tables.
 
-    The ledger is written last: until then a repeated run finds the same new items again.
+    The ledger is written last: until then a repeated run finds the same new items again. A run that fails leaves an
+    ``error`` row in the log, which its repetition replaces.
     """
-    mark = stage_mark()
+    try:
+        with staging(spark):
+            return _ingest(spark, store, feed_payloads, page_payloads, run_ts, run_id, max_items, labels, translations, compat)
+    except Exception as e:
+        log = log_row(spark, run_id, "ingest", run_ts, run_ts, "error", 0, f"{type(e).__name__}: {e}")
+        tables.append_run(log, store.path("runs_log"), schemas.RUNS_LOG, run_id)
+        raise
+
+
+def _ingest(spark, store, feed_payloads, page_payloads, run_ts, run_id, max_items, labels, translations, compat) -> dict:
     this_run = F.col(tables.RUN) == run_id
     seen = tables.read_appended(spark, store.path("seen"), schemas.SEEN).filter(~this_run)
     fresh = stage(find_new_items(feed_payloads, seen, max_items), "new-items")
@@ -122,6 +132,7 @@ def run_ingest(
     articles = stage(article_rows(read, run_ts, labels, translations), "article-rows")
 
     tables.merge_articles(spark, store.path("articles"), articles)
+
     def before(table: str, schema) -> DataFrame:
         return tables.read_snapshot(spark, store.path(table), schema, before_run=run_id)
 
@@ -144,5 +155,4 @@ def run_ingest(
     updated = spark.createDataFrame([(LAST_UPDATE_KEY, run_ts.isoformat(timespec="seconds"))], schemas.META)
     publish(replace_rows(before("meta", schemas.META), updated, "key"), "meta", schemas.META)
     tables.append_run(seen_rows(articles), store.path("seen"), schemas.SEEN, run_id)
-    clear_stages(spark, mark)
     return {"inserted": counts["inserted"], "failures": failures, "status": status}

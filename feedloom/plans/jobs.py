@@ -14,7 +14,7 @@ from feedloom import schemas
 from feedloom.functions.topics import has_topic
 from feedloom.plans import backfill, reports
 from feedloom.plans.runs import log_row
-from feedloom.session import clear_stages, stage, stage_mark
+from feedloom.session import stage, staging
 from feedloom.sources import tables, text_sinks
 from feedloom.sources.tables import Store
 
@@ -35,15 +35,14 @@ def run_digest(
     limit: int = reports.DIGEST_LIMIT,
 ) -> int:
     """Write the Markdown digest; for one without a limit see also ``write_digest_by_journal``."""
-    mark = stage_mark()
-    since = (run_ts - timedelta(days=since_days)).date()
-    articles = tables.read_articles(spark, store.path("articles"), first=since)
-    items = stage(reports.digest_items(articles, run_ts, topics, since_days, limit), "digest")
-    text_sinks.write_digest(reports.digest_lines(items, topics, bounded=limit > 0), out)
-    n = items.count()
-    _log(spark, store, run_id, "digest", run_ts, n, f"topics={'-'.join(topics) if topics else 'ALL'}; file={out}")
-    clear_stages(spark, mark)
-    return n
+    with staging(spark):
+        since = (run_ts - timedelta(days=since_days)).date()
+        articles = tables.read_articles(spark, store.path("articles"), first=since)
+        items = stage(reports.digest_items(articles, run_ts, topics, since_days, limit), "digest")
+        text_sinks.write_digest(reports.digest_lines(items, topics, bounded=limit > 0), out)
+        n = items.count()
+        _log(spark, store, run_id, "digest", run_ts, n, f"topics={'-'.join(topics) if topics else 'ALL'}; file={out}")
+        return n
 
 
 def run_latest(
@@ -56,16 +55,15 @@ def run_latest(
     limit: int = reports.LISTING_LIMIT,
 ) -> int:
     """Write the numbered listing of the newest articles, reading only the days that can hold them."""
-    mark = stage_mark()
-    path = store.path("articles")
-    about = tables.read_articles(spark, path).filter(has_topic("topic_tag", topics))
-    articles = tables.read_articles(spark, path, first=tables.newest_days(about, limit))
-    blocks = stage(reports.listing(reports.latest(articles, topics, limit)), "listing")
-    text_sinks.write_listing(blocks, out, run_ts, topics)
-    n = blocks.count()
-    _log(spark, store, run_id, "latest", run_ts, n, f"topics={list(topics or ())}")
-    clear_stages(spark, mark)
-    return n
+    with staging(spark):
+        path = store.path("articles")
+        about = tables.read_articles(spark, path).filter(has_topic("topic_tag", topics))
+        articles = tables.read_articles(spark, path, first=tables.newest_days(about, limit))
+        blocks = stage(reports.listing(reports.latest(articles, topics, limit)), "listing")
+        text_sinks.write_listing(blocks, out, run_ts, topics)
+        n = blocks.count()
+        _log(spark, store, run_id, "latest", run_ts, n, f"topics={list(topics or ())}")
+        return n
 
 
 def run_backfill(
@@ -88,33 +86,32 @@ def run_backfill(
     ``translate`` turns work ``(src_hash, text)`` into answers of the same shape; ``approve`` turns the change
     summary ``(uid, changes)`` into the uids that may be written. Only the days with changes are rewritten.
     """
-    mark = stage_mark()
-    doi_mode = dois is not None
-    path = store.path("articles")
-    articles = tables.read_articles(spark, path)
-    if doi_mode:
-        candidates = backfill.range_candidates(backfill.doi_candidates(articles, dois))
-    else:
-        candidates = backfill.range_candidates(tables.read_articles(spark, path, start, end), start, end, limit)
-    sources = backfill.prepare_backfill(candidates, backfill.page_probes(candidates, page_payloads), doi_mode)
-    answers = translate(backfill.translation_work(sources)) if translate else None
-    plan = backfill.plan_backfill(sources, answers, reclassify, doi_mode)
-    counts = backfill.plan_counts(plan).first().asDict()
-    applied = 0
-    if not dry_run and counts["to_apply"]:
-        approved = stage(approve(backfill.change_summary(plan)).select("uid"), "approved") if approve else None
-        changes = backfill.approved_changes(plan, approved)
-        applied = changes.count()
-        days = tables.touched_days(articles, changes)
-        if days:
-            old = articles.filter(tables.on_days(days)).drop(tables.DAY)
-            tables.write_articles(backfill.apply_plan(old, plan, run_ts, approved), path)
-    skipped = 0 if dry_run else counts["to_apply"] - applied
-    notes = "; ".join([
-        f"mode={'doi_mode' if doi_mode else 'date_range'}", f"rows={counts['rows']}", f"applied={applied}", f"skipped={skipped}",
-        f"trans={counts['trans']} tag={counts['tag']} meta={counts['meta']}",
-        f"range=({start}..{end}) dry_run={dry_run} reclassify={reclassify or doi_mode}",
-    ])
-    _log(spark, store, run_id, "backfill", run_ts, applied, notes)
-    clear_stages(spark, mark)
-    return {**counts, "applied": applied, "skipped": skipped}
+    with staging(spark):
+        doi_mode = dois is not None
+        path = store.path("articles")
+        articles = tables.read_articles(spark, path)
+        if doi_mode:
+            candidates = backfill.range_candidates(backfill.doi_candidates(articles, dois))
+        else:
+            candidates = backfill.range_candidates(tables.read_articles(spark, path, start, end), start, end, limit)
+        sources = backfill.prepare_backfill(candidates, backfill.page_probes(candidates, page_payloads), doi_mode)
+        answers = translate(backfill.translation_work(sources)) if translate else None
+        plan = backfill.plan_backfill(sources, answers, reclassify, doi_mode)
+        counts = backfill.plan_counts(plan).first().asDict()
+        applied = 0
+        if not dry_run and counts["to_apply"]:
+            approved = stage(approve(backfill.change_summary(plan)).select("uid"), "approved") if approve else None
+            changes = backfill.approved_changes(plan, approved)
+            applied = changes.count()
+            days = tables.touched_days(articles, changes)
+            if days:
+                old = articles.filter(tables.on_days(days)).drop(tables.DAY)
+                tables.write_articles(backfill.apply_plan(old, plan, run_ts, approved), path)
+        skipped = 0 if dry_run else counts["to_apply"] - applied
+        notes = "; ".join([
+            f"mode={'doi_mode' if doi_mode else 'date_range'}", f"rows={counts['rows']}", f"applied={applied}", f"skipped={skipped}",
+            f"trans={counts['trans']} tag={counts['tag']} meta={counts['meta']}",
+            f"range=({start}..{end}) dry_run={dry_run} reclassify={reclassify or doi_mode}",
+        ])
+        _log(spark, store, run_id, "backfill", run_ts, applied, notes)
+        return {**counts, "applied": applied, "skipped": skipped}

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,9 @@ JOB_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+#: Narrow key tables up to so many rows are broadcast; the rows of a result never depend on it.
+BROADCAST_KEYS = 200_000
+
 
 def build_session(app_name: str = "feedloom", master: str | None = None, conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -48,40 +54,45 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-_STAGED: list[str] = []
+#: Paths of the tables that the job running here has staged; None outside of a job.
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage of a result that several later steps read, by a table in the shared folder.
 
-    A lost executor then costs a re-read, not a recomputation. ``clear_stages`` removes the tables.
+    A lost executor then costs a re-read, not a recomputation. Inside ``staging`` the table is removed at
+    the end of the job; else it stays with the cluster's folder, since the result may still be read.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    if (mine := _STAGED.get()) is not None:
+        mine.append(path)
     df.write.parquet(path)
-    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stage_mark() -> int:
-    return len(_STAGED)
-
-
-def clear_stages(spark: SparkSession, mark: int = 0) -> None:
-    """Remove the tables staged since ``mark``, once nothing reads them any more."""
-    sc = spark.sparkContext
-    for path in _STAGED[mark:]:
-        location = sc._jvm.org.apache.hadoop.fs.Path(path)
-        location.getFileSystem(sc._jsc.hadoopConfiguration()).delete(location, True)
-    del _STAGED[mark:]
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """A job's own staged tables: those made inside are removed at its end, also when it fails; other jobs' stay."""
+    mine: list[str] = []
+    token = _STAGED.set(mine)
+    try:
+        yield
+    finally:
+        _STAGED.reset(token)
+        sc = spark.sparkContext
+        for path in mine:
+            location = sc._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(sc._jsc.hadoopConfiguration()).delete(location, True)
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
+def is_small(df: DataFrame, max_rows: int = BROADCAST_KEYS) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows; the count stops right after that."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_KEYS) -> DataFrame:
     """Broadcast a narrow key table only after a count has proved the bound; otherwise let the join shuffle."""
     return F.broadcast(df) if is_small(df, max_rows) else df
 

@@ -1,12 +1,15 @@
 """Parquet tables of the store.
 
 ``articles`` is partitioned by the day of the first fetch, which never changes for a row, so an upsert or a
-backfill rewrites only the days it touches. ``seen`` and ``runs_log`` are appended per run and a repeated run
+backfill rewrites only the days it touches. They go to the folder of a new version; a manifest, renamed into place
+last, names for each day the version that holds it. A run lost before that leaves the table as it was, and readers
+keep the files they began with. ``seen`` and ``runs_log`` are appended per run and a repeated run
 replaces its own rows. The small mutable tables are written as new snapshots; Spark's success marker publishes one.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
@@ -17,8 +20,10 @@ from pyspark.sql import types as T
 
 from feedloom import schemas
 from feedloom.operators.merge import upsert_articles
+from feedloom.session import broadcast_if_small
 
 DAY = "fetched_date"
+VERSION, MANIFESTS = "version", "_manifests"
 RUN = "run"
 _DAY_FIELD = T.StructField(DAY, T.DateType())
 _RUN_FIELD = T.StructField(RUN, T.StringType())
@@ -59,12 +64,40 @@ def _overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
 
 # ---- articles --------------------------------------------------------------------------------------------
 
+def _manifest(spark: SparkSession, path: str) -> tuple[int, list[str]]:
+    """The published version and its day folders, one line per day; 0 and none before the first."""
+    fs, p = _fs_path(spark, f"{path}/{MANIFESTS}")
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    number = max((int(n) for n in names if n.isdigit()), default=0)
+    if not number:
+        return 0, []
+    return number, [r[0] for r in spark.read.text(f"{path}/{MANIFESTS}/{number}").collect()]
+
+
+def _publish(spark: SparkSession, path: str, number: int, folders: list[str]) -> None:
+    """Make a version the one that is read; a rename is one step, and fails if another run took the number."""
+    fs, final = _fs_path(spark, f"{path}/{MANIFESTS}/{number}")
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFESTS}/draft-{uuid.uuid4().hex}")
+    out = fs.create(draft)
+    try:
+        out.write(bytearray("".join(f"{f}\n" for f in folders), "utf-8"))
+    finally:
+        out.close()
+    if fs.exists(final) or not fs.rename(draft, final):
+        fs.delete(draft, False)
+        raise RuntimeError(f"version {number} of {path} was published by another run")
+
+
 def read_articles(spark: SparkSession, path: str, first: date | None = None, last: date | None = None) -> DataFrame:
     """Articles with their partition column; columns an older file lacks read as NULL.
 
     ``first`` and ``last`` prune the days outside them before any file is opened.
     """
-    articles = _read(spark, path, schemas.ARTICLES, _DAY_FIELD)
+    whole = T.StructType([*schemas.ARTICLES.fields, _DAY_FIELD])
+    folders = _manifest(spark, path)[1]
+    if not folders:
+        return spark.createDataFrame([], whole)
+    articles = spark.read.schema(whole).option("basePath", path).parquet(*(f"{path}/{f}" for f in folders)).select(*whole.names)
     if first:
         articles = articles.filter(F.col(DAY) >= F.lit(first))
     if last:
@@ -89,13 +122,43 @@ def newest_days(articles: DataFrame, rows: int) -> date | None:
 
 def write_articles(articles: DataFrame, path: str) -> None:
     """Replace the days present in ``articles``; a day goes to few tasks, and AQE splits a large one."""
+    spark = articles.sparkSession
+    number, folders = _manifest(spark, path)
+    version = f"{VERSION}={number + 1}-{uuid.uuid4().hex}"
     rows = schemas.conform(articles, schemas.ARTICLES).withColumn(DAY, F.col("fetched_at").cast("date"))
-    _overwrite_partitions(rows.hint("rebalance", F.col(DAY)), path, DAY)
+    writer = rows.hint("rebalance", F.col(DAY)).write.partitionBy(DAY)
+    writer.parquet(f"{path}/{version}")
+    fs, p = _fs_path(spark, f"{path}/{version}")
+    days = {name for s in fs.listStatus(p) if (name := s.getPath().getName()).startswith(f"{DAY}=")}
+    kept = [f for f in folders if f.split("/")[1] not in days]
+    _publish(spark, path, number + 1, kept + [f"{version}/{day}" for day in sorted(days)])
+
+
+def expire_articles(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove what only versions before the last ``keep`` refer to, and what lost runs left.
+
+    Not for use while another run writes, since its version is not published yet.
+    """
+    fs, p = _fs_path(spark, f"{path}/{MANIFESTS}")
+    names = {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
+    numbers = sorted(int(n) for n in names if n.isdigit())[-keep:]
+    if not numbers:
+        return
+    used = {r[0] for r in spark.read.text([f"{path}/{MANIFESTS}/{n}" for n in numbers]).distinct().collect()}
+    for name in names - {str(n) for n in numbers}:
+        fs.delete(_fs_path(spark, f"{path}/{MANIFESTS}/{name}")[1], True)
+    for version in fs.listStatus(_fs_path(spark, path)[1]):
+        if not version.getPath().getName().startswith(f"{VERSION}="):
+            continue
+        days = [d.getPath() for d in fs.listStatus(version.getPath()) if d.isDirectory()]
+        gone = [d for d in days if f"{version.getPath().getName()}/{d.getName()}" not in used]
+        for folder in [version.getPath()] if len(gone) == len(days) else gone:
+            fs.delete(folder, True)
 
 
 def touched_days(articles: DataFrame, changes: DataFrame) -> list[date]:
     """Days holding rows of ``changes``; one value per day of the table's life at most."""
-    hit = articles.select("uid", DAY).join(changes.select("uid"), "uid", "left_semi")
+    hit = articles.select("uid", DAY).join(broadcast_if_small(changes.select("uid")), "uid", "left_semi")
     return [r[DAY] for r in hit.select(DAY).distinct().collect()]
 
 

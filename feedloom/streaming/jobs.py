@@ -1,6 +1,7 @@
 """Incremental runs with Structured Streaming.
 
-Each micro-batch runs the batch plan and writes under its batch id, so a replayed batch replaces its own output.
+Each micro-batch runs the batch plan and writes under the id of its stream, which the checkpoint keeps, and its batch
+id: a replayed batch replaces its own output, and never that of another stream or of a new checkpoint.
 The ledger is a table, not streaming state: it never expires and costs one anti-join per batch.
 """
 
@@ -17,6 +18,7 @@ from feedloom import schemas
 from feedloom.operators.identity import new_items
 from feedloom.operators.retries import update_pending
 from feedloom.plans.ingest import run_ingest
+from feedloom.session import staging
 from feedloom.sources import tables
 from feedloom.sources.tables import Store
 
@@ -32,6 +34,11 @@ def _run_available(stream: DataFrame, on_batch: Callable[[DataFrame, int], None]
     return query
 
 
+def _run_id(batch: DataFrame, batch_id: int) -> str:
+    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"batch-{stream}-{batch_id}"
+
+
 def ingest_stream(
     spark: SparkSession,
     feed_payloads: DataFrame,
@@ -50,7 +57,7 @@ def ingest_stream(
         if batch.isEmpty():
             return
         run_ts = (clock or latest_poll)(batch)
-        run_ingest(spark, store, batch, page_payloads(), run_ts, f"batch-{batch_id}", **options)
+        run_ingest(spark, store, batch, page_payloads(), run_ts, _run_id(batch, batch_id), **options)
 
     _run_available(feed_payloads, on_batch, checkpoint)
 
@@ -60,14 +67,14 @@ def ledger_stream(
 ) -> DataFrame:
     """Exact first-seen items over all batches: anti-join with the ledger, then append under the batch id."""
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        run = f"batch-{batch_id}"
+        run = _run_id(batch, batch_id)
         seen = tables.read_appended(spark, ledger, schemas.SEEN).filter(F.col(tables.RUN) != run)
-        rows = new_items(prepare(batch), seen)
-        first = rows.select(
-            "uid", "feed_url", F.col("link").alias("article_url"), "doi", "pub_date",
-            F.lit(None).cast("timestamp_ntz").alias("first_seen_at"),
-        )
-        tables.append_run(first, ledger, schemas.SEEN, run)
+        with staging(spark):
+            first = new_items(prepare(batch), seen).select(
+                "uid", "feed_url", F.col("link").alias("article_url"), "doi", "pub_date",
+                F.lit(None).cast("timestamp_ntz").alias("first_seen_at"),
+            )
+            tables.append_run(first, ledger, schemas.SEEN, run)
 
     _run_available(items, on_batch, checkpoint)
     return tables.read_appended(spark, ledger, schemas.SEEN)
@@ -78,7 +85,7 @@ def pending_stream(
 ) -> DataFrame:
     """The retry table after all batches of attempts, one snapshot per batch."""
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        run = f"batch-{batch_id}"
+        run = _run_id(batch, batch_id)
         pending = tables.read_snapshot(spark, table, schemas.PENDING, before_run=run)
         tables.write_snapshot(update_pending(pending, prepare(batch)), table, schemas.PENDING, run)
 
