@@ -16,16 +16,20 @@ from feedloom.llm.common import stage
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``links`` (columns ``a``, ``b``); the root is the smallest node reachable."""
     edges = stage(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    while True:
-        before = edges
+    while not _are_stars(edges):
         edges = stage(_small_star(_large_star(edges)), "links")
-        same = edges.count() == before.count() and not edges.join(before, ["u", "v"], "left_anti").head(1)
-        if same:
-            break
     roots = edges.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node hangs on one root and no root hangs on another; links are distinct and go to smaller nodes."""
+    sides = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    ends = sides.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not ends.where("up > 1 OR (up = 1 AND down = 1)").head(1)
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the smallest node around it, itself included."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
