@@ -1,11 +1,14 @@
 """License scans by sentence rules.
 
-A text is cut into sentences, which are normalised and looked up among known license sentences. The identifiers, in
-order, are matched against rules: sequences of identifiers that must follow each other with at most ``GAP`` unknown
-sentences between. At each sentence the longest rule that matches wins, and scanning goes on behind it.
-
-Defined results: null and empty texts have no sentences; of rules of equal length the first in the table wins; repeated
-rows are scanned each on their own; very long texts are streamed sentence by sentence; an empty table gives no rows.
+A text is cut into pieces at line breaks and after ``. ! ? : ;`` before white space. Runs of pieces are normalised and
+looked up among known license sentences, so that one matches wrapped over lines, behind comment signs and with such
+breaks inside; the longest run wins. The identifiers, in order, are matched against rules: sequences of identifiers that
+must follow each other with at most ``GAP`` unknown sentences between. At each sentence the longest rule that matches
+wins, and scanning goes on behind it.
+
+Defined results: a known run is one sentence; in the rest, a single line break is a space and a blank line ends a
+sentence; null and blank texts have no sentences; of rules of equal length the first in the table wins; repeated
+rows are scanned each on their own; of very long texts only offsets are held; an empty table gives no rows.
 Extra columns are not read.
 """
 
@@ -64,7 +67,7 @@ RULES = (
     ("All-rights-reserved", ("all-rights",)),
 )
 
-_END = re.compile(r"(?<=[.!?:;])\s+|\n+")
+_END = re.compile(r"(?<=[.!?:;])\s+|\n\s*")
 _WORDS = re.compile(r"[^a-z0-9]+")
 
 
@@ -78,32 +81,53 @@ def normalise(sentence: str) -> str:
     return _WORDS.sub(" ", sentence.lower()).strip()
 
 
-def sentences(text: str) -> Iterator[tuple[int, int]]:
-    at = 0
+def pieces(text: str) -> Iterator[tuple[int, int, bool]]:
+    """Offsets, and whether only a line break parts the piece from the one before."""
+    at, soft = 0, False
     for m in _END.finditer(text):
-        if m.start() > at:
-            yield at, m.start()
+        if m.start() > at and not text[at:m.start()].isspace():
+            yield at, m.start(), soft
+            soft = True
+        soft = soft and text[m.start() - 1] not in ".!?:;" and m.group().count("\n") == 1
         at = m.end()
-    if at < len(text):
-        yield at, len(text)
+    if at < len(text) and not text[at:].isspace():
+        yield at, len(text), soft
 
 
 class Scanner:
     def __init__(self, known=None, rules=RULES, gap: int = GAP) -> None:
         self.known = {normalise(s): k for k, s in (known or SENTENCES).items()}
+        self.starts = {s[:m.start()] for s in self.known for m in re.finditer(r" |$", s)}
         self.rules: dict[str, list] = {}
         for name, ids in sorted(rules, key=lambda r: -len(r[1])):
             self.rules.setdefault(ids[0], []).append((name, ids))
         self.gap = gap
-        self.longest = max(map(len, (known or SENTENCES).values()), default=0) * 2
+
+    def run(self, text: str, parts: list[tuple[int, int, bool]], first: int) -> tuple[str, int] | None:
+        """The longest known sentence that begins with a piece, and the piece behind it."""
+        said, best = "", None
+        for k in range(first, len(parts)):
+            if not (more := normalise(text[slice(*parts[k][:2])])):
+                if k == first:
+                    return None
+                continue
+            said = f"{said} {more}" if said else more
+            if said not in self.starts:
+                break
+            if said in self.known:
+                best = self.known[said], k + 1
+        return best
 
     def identify(self, text: str) -> tuple[int, list[tuple[int, str, int, int]]]:
         """How many sentences there are, and those known: position, identifier, offsets."""
-        found, n = [], 0
-        for a, b in sentences(text):
-            if b - a <= self.longest and (k := self.known.get(normalise(text[a:b]))):
-                found.append((n, k, a, b))
-            n += 1
+        parts = list(pieces(text))
+        found, n, at, fresh = [], 0, 0, True
+        while at < len(parts):
+            if hit := self.run(text, parts, at):
+                found.append((n, hit[0], parts[at][0], parts[hit[1] - 1][1]))
+                n, at, fresh = n + 1, hit[1], True
+            else:
+                n, at, fresh = n + (fresh or not parts[at][2]), at + 1, False
         return n, found
 
     def scan(self, text: str | None) -> tuple[int, int, list[Match]]:

@@ -276,6 +276,25 @@ def test_license_sequences():
     assert s.scan(f"{x['gpl-free']} a. b. c. {x['gpl-hope']}")[2] == []  # too far apart
 
 
+def test_every_license_rule_can_match():
+    import textwrap
+
+    s, x = licenses.Scanner(), licenses.SENTENCES
+    for name, ids in licenses.RULES:
+        for text in (" ".join(x[k] for k in ids), "\n\n".join(textwrap.fill(x[k], 60) for k in ids),
+                     "/*" + "*" * 900 + "\n" + "\n *\n".join(textwrap.fill(x[k], 72, initial_indent=" * ", subsequent_indent=" * ") for k in ids) + "\n */"):
+            assert [m.license for m in s.scan(text)[2]] == [name]
+    wrapped = textwrap.fill("one two " * 40, 60)
+    known = textwrap.fill(x["mit-grant"], 70)
+    text = f"{wrapped}.\n\n{known}\n{wrapped}\n\n{wrapped}\n{textwrap.fill(x['mit-notice'], 70)}"
+    n, known, found = s.scan(text)  # a sentence over several lines is one, in the gap too
+    assert (n, known, [text[m.start:m.end].split()[0] for m in found]) == (5, 2, ["Permission"])
+    apache = f"{x['apache-notice']}\n{x['apache-use']}\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n"
+    assert [m.license for m in s.scan(apache)[2]] == ["Apache-2.0"]
+    padded = " *" * 900 + " " + x["isc-grant"]
+    assert [m.license for m in s.scan(padded)[2]] == ["ISC"]
+
+
 def test_license_lines_of_documents(spark, docs, texts):
     got = {r.doc_id: [m.license for m in r.matches] for r in licenses.scan_licenses(docs).collect()}
     names = {"Released under the MIT License.": "MIT", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "All rights reserved.": "All-rights-reserved",
