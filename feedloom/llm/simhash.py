@@ -446,7 +446,7 @@ def text_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest id; rows without an id stay, as do all rows
-    that repeat the id kept."""
-    gone = text_groups(docs, id_col, text_col).where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """``docs`` with one document of each group, the one with the smallest id; rows without an id stay, as do all rows of
+    the group that repeat the id kept."""
+    gone = _grouped(_with_ids(docs, id_col, text_col), SIMILARITY).where("id <> component_id").select("id", "text_key").distinct()
+    return docs.join(gone, (F.col(id_col).cast("long") == F.col("id")) & (F.xxhash64(text_col) == F.col("text_key")), "left_anti").select(*docs.columns)

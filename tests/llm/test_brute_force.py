@@ -256,14 +256,14 @@ def test_text_groups_verify_every_pair_of_a_template(spark):
     assert sorted(map(tuple, simhash.text_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect())) == groups_by_hand(rows)
 
 
-def test_keep_first_keeps_equal_words_in_another_order(spark):
+def test_keep_first_keeps_equal_words_in_another_order_and_other_texts_of_an_id(spark):
     long = [f"w{k}" for k in range(60)]
     rows = [
         (1, "yes no"), (2, "no yes"), (3, "ha"), (4, "ha ha ha"), (5, " ".join(long)), (6, " ".join(long[::-1])),
-        (7, "YES  no"), (8, " ".join(long) + " end"), (9, " ".join(long[::-1])),
+        (7, "YES  no"), (8, " ".join(long) + " end"), (8, "a text of its own"), (9, " ".join(long[::-1])),
     ]
     kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sorted(map(tuple, kept)) == sorted(rows[:6])
+    assert sorted(map(tuple, kept)) == sorted([*rows[:6], rows[8]])
 
 
 @pytest.mark.parametrize("limit", [1 << 20, 40])
