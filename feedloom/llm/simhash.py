@@ -216,7 +216,7 @@ def hex_bits(bits: Column) -> Column:
 # Near-duplicate texts for a filter: an exact similarity join on shingles, by prefixes, joined to components.
 
 WORDS, SIMILARITY = 5, 0.8
-SAMPLE, COMMON, CELL, LEADS = 16_384, 200_000, 4096, 8
+SAMPLE, COMMON, CELL, LEADS, ORDERS, HELD = 16_384, 200_000, 4096, 16, 4, 16 << 20
 
 
 def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -302,7 +302,8 @@ def _across(similarity: float):
 
 
 def _cell_pairs(find):
-    """``find`` on each cell's two blocks of members; batches are sorted by ``token, i, j, node``."""
+    """``find`` on each cell's two blocks of members; batches are sorted by ``token, i, j``, then in one of ``ORDERS`` orders of the
+    nodes, so that cells with the same texts have several leading ones."""
     def emit(rows: list[np.ndarray]) -> pa.RecordBatch:
         token, i, j, mine, *rest = rows
         change = np.flatnonzero((token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
@@ -347,7 +348,8 @@ def _pairs(cells: DataFrame, find, all_blocks: bool) -> DataFrame:
     others = F.sequence(F.lit(0), F.col("blocks") - 1) if all_blocks else F.array("mine")
     dealt = dealt.withColumn("other", F.explode(others)).select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", *_MEMBER)
     keys = ["token", "i", "j"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(_cell_pairs(find), "a long, b long").distinct()
+    order = F.xxhash64("node", F.pmod("token", F.lit(ORDERS)))
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, order, "node").mapInArrow(_cell_pairs(find), "a long, b long").distinct()
 
 
 def _common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -390,6 +392,8 @@ def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, similarity: f
 
     one = rows.join(asked, "text_key").select("node", "text")
     held = stage(map_batches(one, sets, "node long, shingles binary").groupBy("node").agg(F.min("shingles").alias("shingles")), "shingles")
+    if (held.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0) <= HELD:
+        held = F.broadcast(held)
     left, right = held.select(F.col("node").alias("a"), F.col("shingles").alias("x")), held.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), check, "a long, b long", 1 << 40)
 
