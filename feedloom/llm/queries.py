@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, decontaminate, licenses, sentencepiece_codec, simhash, substring_dedup, token_counts, topk, toxicity, warc
+from feedloom.llm import chat, decontaminate, licenses, repair, sentencepiece_codec, simhash, substring_dedup, token_counts, topk, toxicity, warc
 from feedloom.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -70,6 +70,11 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.summary(decontaminate.scan_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations")
+    return repair.repair_conversations(repair.damage(said), said)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op1_toxicity": toxicity_scores, "op2_substring_dedup": substring, "op3_sentencepiece": sentencepiece,
     "op4_chat_formatting": chat_format, "op5_warc": warc_records, "op6_simhash": simhash_groups, "op7_top_k": top_k,
     "op8_license_scan": license_scan, "op9_token_counts": token_count, "op10_decontamination": decontamination,
+    "op13_conversation_repair": conversation_repair,
     "pipeline": pipeline,
 }
 
@@ -168,7 +174,70 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) A
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
 
+_REPAIR = r"""
+WITH RECURSIVE checksum AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))
+), convs AS (
+  SELECT conv_id, row_number() OVER () AS cid FROM (SELECT DISTINCT conv_id FROM conversations)
+), keyed AS (
+  SELECT cid, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce([4294967295] || list_transform(string_split(coalesce(CAST(c.conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 AS kind
+  FROM conversations c JOIN convs ON c.conv_id IS NOT DISTINCT FROM convs.conv_id, checksum
+), damaged AS (
+  SELECT cid, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM keyed WHERE kind <> 0
+), placed AS (
+  SELECT cid, turn, role, text, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+), judged AS (
+  SELECT *, substr(role, 1, 1) AS ini, lag(substr(role, 1, 1)) OVER (PARTITION BY cid ORDER BY i) AS before,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY cid, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+  FROM placed
+), totals AS (
+  SELECT cid, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'blank') AS blank,
+         count_if(fault = 'duplicate') AS duplicate, count_if(fault = 'truncated') AS truncated,
+         count_if(before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY cid
+), moves(q, ini, q2) AS (
+  VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), added(q, q2, cost, audit, said) AS (
+  SELECT q, q, 0, '', CAST([] AS VARCHAR[]) FROM range(4) r(q)
+  UNION ALL SELECT q, q2, 2, 'I', [CASE ini WHEN 'u' THEN 'user:' ELSE 'assistant:' END] FROM moves WHERE ini <> 's'
+  UNION ALL SELECT a.q, b.q2, 4, 'II', [CASE a.ini WHEN 'u' THEN 'user:' ELSE 'assistant:' END, CASE b.ini WHEN 'u' THEN 'user:' ELSE 'assistant:' END]
+    FROM moves a JOIN moves b ON b.q = a.q2 WHERE a.ini <> 's' AND b.ini <> 's'
+), edits AS (
+  SELECT cid, i, q, q2, cost, audit, said FROM (
+    SELECT cid, i, CAST(q AS INTEGER) AS q, CAST(q AS INTEGER) AS q2, 3 AS cost, 'D' AS audit, CAST([] AS VARCHAR[]) AS said FROM judged, range(4) r(q)
+    UNION ALL SELECT cid, i, q, q2, CASE fault WHEN 'truncated' THEN 1 ELSE 0 END, 'K', [role || ':' || text]
+      FROM judged JOIN moves USING (ini) WHERE fault IN ('', 'truncated')
+    UNION ALL SELECT cid, i, q, q2, CASE fault WHEN 'truncated' THEN 3 ELSE 2 END, 'R', [CASE m.ini WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text]
+      FROM judged, moves m WHERE m.ini <> 's' AND fault IN ('', 'truncated'))
+), paths(cid, i, q, best, said) AS (
+  SELECT cid, CAST(0 AS BIGINT), 0, {'cost': 0, 'audit': ''}, CAST([] AS VARCHAR[]) FROM totals
+  UNION ALL
+  SELECT cid, i, q, min(best), arg_min(said, best) FROM (
+    SELECT p.cid, e.i, e.q2 AS q, {'cost': p.best.cost + a.cost + e.cost, 'audit': p.best.audit || a.audit || e.audit} AS best, p.said || a.said || e.said AS said
+    FROM paths p JOIN added a ON a.q = p.q JOIN edits e ON e.cid = p.cid AND e.i = p.i + 1 AND e.q = a.q2
+  ) GROUP BY cid, i, q
+), whole AS (
+  SELECT cid, min(best) AS best, arg_min(said, best) AS said FROM (
+    SELECT p.cid, {'cost': p.best.cost + a.cost, 'audit': p.best.audit || a.audit} AS best, p.said || a.said AS said
+    FROM paths p JOIN totals t ON t.cid = p.cid AND t.n = p.i JOIN added a ON a.q = p.q WHERE a.q2 IN (0, 3)
+  ) GROUP BY cid
+)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM convs LEFT JOIN totals USING (cid) LEFT JOIN whole USING (cid)
+"""
+
 ORACLES = {
     "op2_substring_dedup": _WINDOWS, "op4_chat_formatting": _CHAT, "op5_warc": _WARC, "op7_top_k": _TOP,
-    "op10_decontamination": _LEAKS,
+    "op10_decontamination": _LEAKS, "op13_conversation_repair": _REPAIR,
 }
