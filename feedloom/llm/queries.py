@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, decontaminate, licenses, repair, sentencepiece_codec, simhash, substring_dedup, token_counts, topk, toxicity, warc
+from feedloom.llm import chat, decontaminate, licenses, repair, sentencepiece_codec, simhash, substring_dedup, token_counts, token_store, topk, toxicity, warc
 from feedloom.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +71,11 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.summary(decontaminate.scan_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_store.write_ids(token_store.tokenize(table(spark, sf_dir, "documents"), BYTE_MODEL, end_id=0))
+    return token_store.document_digests(token_store.read_pieces(spark, path, ids=False)).withColumnRenamed("id", "doc_id")
+
+
 def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = table(spark, sf_dir, "conversations")
     return repair.repair_conversations(repair.damage(said), said)
@@ -85,7 +91,7 @@ QUERIES = {
     "op1_toxicity": toxicity_scores, "op2_substring_dedup": substring, "op3_sentencepiece": sentencepiece,
     "op4_chat_formatting": chat_format, "op5_warc": warc_records, "op6_simhash": simhash_groups, "op7_top_k": top_k,
     "op8_license_scan": license_scan, "op9_token_counts": token_count, "op10_decontamination": decontamination,
-    "op13_conversation_repair": conversation_repair,
+    "op11_token_ids": token_ids, "op13_conversation_repair": conversation_repair,
     "pipeline": pipeline,
 }
 
