@@ -23,18 +23,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import Rows, fresh_path, map_batches, stage
-from feedloom.llm.word_batches import WordLists
+from feedloom.llm.word_batches import PLAIN, WordLists
 
 MAX_BITS = 20
 BLOCK_IDS = 1 << 16
 EVERY = 128
 FILE_BLOCKS = 64
 MEMO_IDS = 2_000_000
+ROW = 100
 
 
 # ---- ids of texts ----------------------------------------------------------------------------------------
@@ -43,8 +45,8 @@ class Tokenizer:
     """Ids as the tokenizers library gives them, without added special tokens.
 
     A byte-level tokenizer that splits with its own pattern never joins over a cut of ``word_batches``, so the
-    library is asked once for each distinct word of a task. Words go to it in lines: a line feed between two plain
-    characters is a token of its own. Any other tokenizer gets whole texts.
+    library is asked once for each distinct word of a task. Words go to it in rows of ``ROW``; the bytes that each id
+    stands for say where a word ends. For a tokenizer of another kind, whole texts go to the library.
     """
 
     def __init__(self, path: str) -> None:
@@ -54,40 +56,37 @@ class Tokenizer:
         self.library.no_truncation()
         self.library.no_padding()
         spec = json.loads(self.library.to_str())
-        split = spec["pre_tokenizer"] or {}
-        added = all(not any(t[k] for k in ("lstrip", "rstrip", "single_word", "normalized")) and not any(map(str.isspace, t["content"])) for t in spec["added_tokens"])
-        self.by_words = spec["normalizer"] is None and split.get("type") == "ByteLevel" and bool(split.get("use_regex")) and not split.get("add_prefix_space") and added
+        split, added = spec["pre_tokenizer"] or {}, spec["added_tokens"]
+        exact = not any(t[k] for t in added for k in ("lstrip", "rstrip", "single_word", "normalized")) and not any(" " in t["content"] for t in added)
+        self.by_words = exact and spec["normalizer"] is None and split.get("type") == "ByteLevel" and bool(split.get("use_regex")) and not split.get("add_prefix_space")
         self.size = self.library.get_vocab_size()
-        line = self.library.encode("\n", add_special_tokens=False).ids
-        self.by_words &= len(line) == 1
-        self.line = line[0] if line else -1
         self.words = WordLists(self.encode_words, MEMO_IDS)
+        if self.by_words:  # a character of a piece is a byte
+            self.bytes = np.zeros(self.size, np.int64)
+            for piece, i in self.library.get_vocab().items():
+                self.bytes[i] = len(piece)
+            for t in added:
+                self.bytes[t["id"]] = len(t["content"].encode())
 
     def encode_each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.int64, int(lengths.sum())), lengths
+        found = [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.int32), *found]), np.fromiter(map(len, found), np.int64, len(found))
 
-    def encode_words(self, words: list[str], line_words: int = 4_000) -> tuple[np.ndarray, np.ndarray]:
+    def encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words, and how many each has."""
-        def edge(c: str) -> bool:
-            return c.isalnum() or "!" <= c <= "~"
-
-        alone = np.fromiter(("\n" in w or not edge(w[-1]) or not edge(w.removeprefix(" ")[:1] or " ") for w in words), bool, len(words))
-        lined = np.flatnonzero(~alone)
-        lines = ["\n".join([words[i] for i in lined[k:k + line_words].tolist()]) for k in range(0, len(lined), line_words)]
-        flat, n = self.encode_each(lines)
-        ends = np.sort(np.r_[np.flatnonzero(flat == self.line), np.cumsum(n)])
-        if len(ends) != len(lined):
-            raise ValueError("this tokenizer joins words over a line feed")
-        breaks = np.arange(1, len(lined) + 1) % line_words > 0  # a line feed follows, but for the last word of a call
+        row = pc.match_substring_regex(words, rf"\A {PLAIN}(?s:.*{PLAIN})?\z").to_numpy(zero_copy_only=False)
+        flat, _ = self.encode_each(joined(words.filter(pa.array(row)), ROW))
+        others, own = self.encode_each(words.filter(pa.array(~row)).to_pylist())
+        ends, size = np.cumsum(self.bytes[flat]), pc.binary_length(words).to_numpy().astype(np.int64)
+        wanted = np.cumsum(size[row])
+        stops = np.searchsorted(ends, wanted) + 1
+        if len(stops) and (stops[-1] != len(flat) or (ends[stops - 1] != wanted).any()):
+            raise ValueError("this tokenizer joins words")
         lengths = np.zeros(len(words), np.int64)
-        lengths[lined] = ends - np.r_[0, ends + breaks][:len(ends)]
-        own_flat, own = self.encode_each([words[i] for i in np.flatnonzero(alone).tolist()])
-        lengths[alone] = own
-        out = np.empty(int(lengths.sum()), np.int64)
-        is_own = np.repeat(alone, lengths)
-        out[is_own], out[~is_own] = own_flat, flat[flat != self.line]
+        lengths[row], lengths[~row] = np.diff(np.r_[0, stops]), own
+        out = np.empty(int(lengths.sum()), np.int32)
+        in_row = np.repeat(row, lengths)
+        out[in_row], out[~in_row] = flat, others
         return out, lengths
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -97,6 +96,14 @@ class Tokenizer:
         return self.encode_each([t or "" for t in texts.to_pylist()])
 
 
+def joined(words: pa.Array, row: int) -> list[str]:
+    """The words in rows of ``row``, without anything between them."""
+    words = pa.concat_arrays([words])
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
+    data, cuts = words.buffers()[2], [*ends[:-1:row].tolist(), int(ends[-1])] if len(words) else [0]
+    return [data[a:b].to_pybytes().decode() for a, b in zip(cuts, cuts[1:])]
+
+
 def tokenize(docs: DataFrame, model: str, end_id: int | None = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n, crc, ids, row`` of every row, written down; ``ids`` are little-endian, 16 bits wide if the vocabulary
     allows it, ``crc`` is that of the ids as 32-bit integers. ``model`` is the tokenizer's file on each executor."""
