@@ -11,6 +11,7 @@ floats with a slack that is far above their rounding, so they never rule out an
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -34,12 +35,9 @@ class Tree(NamedTuple):
 
 
 def as_integers(values: np.ndarray) -> np.ndarray:
-    """The smallest exact form of integers."""
-    if values.dtype != object:
-        return values
-    if not values.size or max(abs(int(values.max())), abs(int(values.min()))) < EXACT:
-        return values.astype(np.int64)
-    return values
+    """Integers in the form that is exact for squared distances: 64 bits, or Python's own."""
+    small = not values.size or max(abs(int(values.max())), abs(int(values.min()))) < EXACT
+    return values.astype(np.int64 if small else object)
 
 
 def distances(points: np.ndarray, pivot: np.ndarray) -> np.ndarray:
@@ -153,7 +151,7 @@ def build(points: np.ndarray) -> Tree:
     order = np.concatenate(order)
     sorted_points = points[order]
     start, end = np.array(first), np.array(last)
-    running = np.concatenate([sorted_points[:1] * 0, np.cumsum(sorted_points, axis=0)])
+    running = np.concatenate([sorted_points[:1] * 0, np.cumsum(sorted_points, axis=0)])  # 2^24 by a block's points
     pivots, radii = np.empty((len(balls), points.shape[1])), np.empty(len(balls))
     for k, (a, b) in enumerate(zip(first, last)):  # the tightest ball around the mean
         mine = floats[order[a:b]]
@@ -168,9 +166,9 @@ def squared(points: np.ndarray, entries: np.ndarray) -> np.ndarray:
     return (gap * gap).sum(-1)
 
 
-def assign(tree: Tree, entries: np.ndarray):
-    """Yields ``first, last, entries`` of stretches of ``tree.points`` and the entry of each: one number if a ball is
-    wholly owned (then ``ball`` is its number, else -1), or an array of entry numbers at leaves.
+def assign(tree: Tree, entries: np.ndarray) -> Iterator[tuple[int, int, int | np.ndarray, int]]:
+    """Yields ``first, last, entry, ball`` for stretches of ``tree.points``. A wholly owned ball has one entry; at a
+    leaf ``entry`` is an array and ``ball`` is -1. Of nearest entries that tie, the first counts.
 
     A ball inherits the candidates of the ball around it and drops those whose distance from its pivot exceeds the
     least by more than its diameter: they are nearest to none of its points, nor tie.
@@ -179,7 +177,6 @@ def assign(tree: Tree, entries: np.ndarray):
     scale = max(float(np.abs(as_floats).max(initial=0)), float(np.abs(tree.pivot).max(initial=0)), 1.0) * max(1, entries.shape[1]) ** 0.5
     slack = SLACK * scale
     stack = [(0, np.arange(len(entries)))]
-    n_balls = len(tree.first)
     first, last, after, radius = tree.first.tolist(), tree.last.tolist(), tree.after.tolist(), tree.radius.tolist()
     while stack:
         ball, candidates = stack.pop()
@@ -189,7 +186,7 @@ def assign(tree: Tree, entries: np.ndarray):
         a, b = first[ball], last[ball]
         if len(candidates) == 1:
             yield a, b, int(candidates[0]), ball
-        elif after[ball] == ball + 1 or ball + 1 == n_balls:
+        elif after[ball] == ball + 1:
             yield a, b, candidates[squared(tree.points[a:b], entries[candidates]).argmin(1)], -1
         else:
             left = ball + 1

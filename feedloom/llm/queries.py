@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, decontaminate, licenses, repair, sentencepiece_codec, simhash, substring_dedup, token_counts, token_store, topk, toxicity, warc
+from feedloom.llm import chat, decontaminate, licenses, repair, sentencepiece_codec, simhash, substring_dedup, token_counts, token_store, topk, toxicity, vector_codes, warc
 from feedloom.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -76,6 +76,11 @@ def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.document_digests(token_store.read_pieces(spark, path, ids=False)).withColumnRenamed("id", "doc_id")
 
 
+def vector_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.code_report(spark, codes, books).withColumnRenamed("id", "vec_id")
+
+
 def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = table(spark, sf_dir, "conversations")
     return repair.repair_conversations(repair.damage(said), said)
@@ -91,7 +96,8 @@ QUERIES = {
     "op1_toxicity": toxicity_scores, "op2_substring_dedup": substring, "op3_sentencepiece": sentencepiece,
     "op4_chat_formatting": chat_format, "op5_warc": warc_records, "op6_simhash": simhash_groups, "op7_top_k": top_k,
     "op8_license_scan": license_scan, "op9_token_counts": token_count, "op10_decontamination": decontamination,
-    "op11_token_ids": token_ids, "op13_conversation_repair": conversation_repair,
+    "op11_token_ids": token_ids, "op12_vector_codes": vector_code,
+    "op13_conversation_repair": conversation_repair,
     "pipeline": pipeline,
 }
 
@@ -180,6 +186,41 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) A
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
 
+_CODES = r"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), p AS (
+  SELECT rid, part, x[part * w + 1 : part * w + w] AS v FROM (SELECT rid, x, len(x) // 16 AS w, unnest(range(16)) AS part FROM k)
+), c0 AS (
+  SELECT part, rid - 1 AS e, v FROM p WHERE rid <= 64
+), a0 AS (
+  SELECT rid, part, p.v AS v, min({'d': list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - c.v[i]) * (p.v[i] - c.v[i]))), 'e': e}) AS best
+  FROM p JOIN c0 c USING (part) GROUP BY rid, part, p.v
+), @1, @2
+, total AS (
+  SELECT rid, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a2 GROUP BY rid
+), books AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, e)) AS digest FROM c2
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM k JOIN total USING (rid), books
+"""
+
+#: One round: entries move to the floored means of their parts, then parts choose again.
+_CODES_ROUND = """m@ AS (
+  SELECT part, e, list(((s % n + n) % n * -1 + s) // n ORDER BY i) AS v FROM (
+    SELECT part, best.e AS e, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n FROM (SELECT part, best, v, unnest(range(1, len(v) + 1)) AS i FROM a$) GROUP BY ALL
+  ) GROUP BY part, e
+), c@ AS (
+  SELECT part, e, coalesce(m.v, c.v) AS v FROM c$ c LEFT JOIN m@ m USING (part, e)
+), a@ AS (
+  SELECT rid, part, p.v AS v, min({'d': list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - c.v[i]) * (p.v[i] - c.v[i]))), 'e': e}) AS best
+  FROM p JOIN c@ c USING (part) GROUP BY rid, part, p.v
+)"""
+for _n in (1, 2):
+    _CODES = _CODES.replace(f"@{_n}", _CODES_ROUND.replace("@", str(_n)).replace("$", str(_n - 1)))
+
 _REPAIR = r"""
 WITH RECURSIVE checksum AS (
   SELECT list(v ORDER BY i) AS t FROM (
@@ -245,5 +286,6 @@ FROM convs LEFT JOIN totals USING (cid) LEFT JOIN whole USING (cid)
 
 ORACLES = {
     "op2_substring_dedup": _WINDOWS, "op4_chat_formatting": _CHAT, "op5_warc": _WARC, "op7_top_k": _TOP,
-    "op10_decontamination": _LEAKS, "op13_conversation_repair": _REPAIR,
+    "op10_decontamination": _LEAKS, "op12_vector_codes": _CODES,
+    "op13_conversation_repair": _REPAIR,
 }
