@@ -18,6 +18,7 @@ makes a folder without blocks, and reads as no rows. Only the id and the text ar
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -31,12 +32,13 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import Rows, fresh_path, map_batches, stage
 from feedloom.llm.word_batches import PLAIN, WordLists
 
-MAX_BITS = 20
-BLOCK_IDS = 1 << 16
+MAX_BITS = 18
+BLOCK_IDS = 1 << 18
 EVERY = 128
-FILE_BLOCKS = 64
+FILE_BLOCKS = 32
 MEMO_IDS = 2_000_000
 ROW = 100
+CALL = 64
 
 
 # ---- ids of texts ----------------------------------------------------------------------------------------
@@ -50,6 +52,7 @@ class Tokenizer:
     """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; every thread would keep memory of its own
         from tokenizers import Tokenizer as Library
 
         self.library = Library.from_file(path)
@@ -69,7 +72,7 @@ class Tokenizer:
                 self.bytes[t["id"]] = len(t["content"].encode())
 
     def encode_each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        found = [np.array(e.ids, np.int32) for k in range(0, len(texts), CALL) for e in self.library.encode_batch_fast(texts[k:k + CALL], add_special_tokens=False)]
         return np.concatenate([np.zeros(0, np.int32), *found]), np.fromiter(map(len, found), np.int64, len(found))
 
     def encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -137,8 +140,11 @@ def id_counts(tokens: DataFrame) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for data, width in zip(batch.column(0), batch.column(1).to_pylist()):
-                here = np.bincount(np.frombuffer(data.as_buffer(), f"<u{width}"), minlength=len(total))
+            data, width = batch.column(0), batch.column(1)[0].as_py() if batch.num_rows else 4
+            ends = np.frombuffer(data.buffers()[1], np.int32)[[data.offset, data.offset + len(data)]]
+            ids = np.frombuffer(data.buffers()[2], np.uint8)[slice(*ends)].view(f"<u{width}") if ends[0] < ends[1] else []
+            for k in range(0, len(ids), 1 << 20):
+                here = np.bincount(ids[k:k + (1 << 20)], minlength=len(total))
                 here[:len(total)] += total
                 total = here
         ids = np.flatnonzero(total)
@@ -178,8 +184,8 @@ class Code:
     def __init__(self, lengths: dict[int, int]) -> None:
         order = sorted(lengths, key=lambda i: (lengths[i], i))
         self.bits = max(lengths.values(), default=1)
-        if self.bits > 24:
-            raise ValueError("codes of more than 24 bits do not fit the window of the reader")
+        if self.bits > 24 or max(order, default=0) >> 27:
+            raise ValueError("codes of more than 24 bits, or ids of more than 27, do not fit the reader's table")
         top = max(order, default=0) + 1
         self.code, self.length = np.zeros(top, np.uint32), np.zeros(top, np.int64)
         ids, n = np.array(order, np.int64), np.array([lengths[i] for i in order], np.int64)
@@ -189,32 +195,35 @@ class Code:
             raise ValueError("no code has these lengths")
         self.code[ids], self.length[ids] = starts >> (self.bits - n), n
         rest = (1 << self.bits) - int(spans.sum())
-        self.symbols = np.concatenate([np.repeat(ids, spans), np.zeros(rest, np.int64)]).astype(np.uint32)
-        self.steps = np.concatenate([np.repeat(n, spans), np.ones(rest, np.int64)])
+        # What the next bits say: the id, and in the low five bits how many of them it takes.
+        self.table = np.concatenate([np.repeat(ids << 5 | n, spans), np.ones(rest, np.int64)]).astype(np.uint32)
 
     def pack(self, ids: np.ndarray, every: int = EVERY) -> tuple[bytes, np.ndarray]:
         """The code bits of ids, and where each ``every``-th id starts."""
         n = self.length[ids]
         if not n.all():
             raise ValueError("an id without a code")
-        left = (self.code[ids] << (32 - n).astype(np.uint32)).astype(">u4")
-        bits = np.unpackbits(left.view(np.uint8).reshape(-1, 4), axis=1)[:, :self.bits]
-        used = np.arange(self.bits) < n[:, None]
-        return np.packbits(bits[used]).tobytes(), (np.cumsum(n) - n)[::every].astype("<u4")
+        ends = np.cumsum(n)
+        starts = ends - n
+        # A code lies in at most two words of 32 bits; what codes give to a word does not overlap, so it can be added.
+        pair = self.code[ids].astype(np.uint64) << (64 - n - (starts & 31)).astype(np.uint64)
+        size = int(ends[-1] >> 5) + 2 if len(ids) else 0
+        words = np.bincount(starts >> 5, pair >> np.uint64(32), size) + np.bincount((starts >> 5) + 1, pair & np.uint64(0xFFFFFFFF), size)
+        return words.astype(">u4").tobytes()[:int(n.sum() + 7) >> 3], starts[::every].astype("<u4")
 
     def unpack(self, data: bytes, offsets: np.ndarray, n: int, every: int = EVERY) -> np.ndarray:
         """The ``n`` ids of code bits; a lane that does not end where the next one starts is an error."""
         padded = np.frombuffer(data + bytes(every * self.bits // 8 + 8), np.uint8).astype(np.uint32)
         windows = (padded[:-3] << 24) | (padded[1:-2] << 16) | (padded[2:-1] << 8) | padded[3:]
-        at, out = offsets.astype(np.int64), np.empty((len(offsets), every), np.uint32)
-        mask, shift = (1 << self.bits) - 1, 32 - self.bits
+        at, out = offsets.astype(np.int64), np.empty((every, len(offsets)), np.uint32)
+        mask, shift = np.uint32((1 << self.bits) - 1), 32 - self.bits
         for k in range(every):
-            found = (windows[at >> 3] >> (shift - (at & 7)).astype(np.uint32)) & mask
-            out[:, k] = self.symbols[found]
-            at += self.steps[found]
+            found = self.table[(windows[at >> 3] >> (shift - (at & 7)).astype(np.uint32)) & mask]
+            out[k] = found >> 5
+            at += found & 31
         if (at[:-1] != offsets[1:]).any():
             raise ValueError("code bits do not meet the offsets")
-        return out.reshape(-1)[:n]
+        return out.T.reshape(-1)[:n]
 
 
 # ---- blocks ----------------------------------------------------------------------------------------------

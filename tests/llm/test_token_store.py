@@ -112,7 +112,7 @@ def expected(rows):
     return out
 
 
-@pytest.mark.parametrize("block", [7, 1 << 16])
+@pytest.mark.parametrize("block", [7, token_store.BLOCK_IDS])
 def test_files_hold_every_document(spark, messy, block, monkeypatch):
     monkeypatch.setattr(token_store, "FILE_BLOCKS", 3)
     rows = [(r.doc_id, r.text) for r in messy.collect() if not r.text or len(r.text) < 1_000] + [(k % 40, f"text {k} and more") for k in range(300)]
