@@ -16,10 +16,7 @@ gets the component of its fingerprint; repeated rows stay rows; an empty table g
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
 from itertools import combinations
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +26,7 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import Rows, map_batches, stage
 from feedloom.llm.components import components
+from feedloom.session import broadcast_if_small
 
 SEED, SHINGLE, MAX_BITS = 42, 3, 3
 GROUPS, BLOCK = 6, 512
@@ -213,244 +211,15 @@ def hex_bits(bits: Column) -> Column:
     return F.lower(F.lpad(F.hex(bits), 16, "0"))
 
 
-# Near-duplicate texts for a filter: an exact similarity join on shingles, by prefixes, joined to components.
-
-WORDS, SIMILARITY = 5, 0.8
-SAMPLE, COMMON, CELL, LEADS, ORDERS, HELD = 16_384, 200_000, 4096, 16, 4, 16 << 20
-
-
-def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
-    """The sorted distinct hashes of word shingles."""
-    return np.unique(np.array(hashes_of(text, words), np.uint64))
-
-
-def jaccard(a: bytes, b: bytes) -> float:
-    if not a and not b:
-        return 1.0
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both)
-
-
-def prefix(shingles: np.ndarray, common: np.ndarray, ranks: np.ndarray, similarity: float) -> np.ndarray:
-    """The first shingles in an order that all texts share, rare ones first, so many that two similar texts share one."""
-    n = len(shingles)
-    if len(common) and n:
-        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-        shingles = shingles[np.argsort(np.where(common[at] == shingles, ranks[at], 0), kind="stable")]
-    return shingles[:n - math.ceil(similarity * n - 1e-9) + 1]
-
-
-def parities(shingles: np.ndarray) -> np.ndarray:
-    """128 bits, each the parity of its shingles: two sets differ by at least as many shingles as bits."""
-    odd = np.bincount((shingles & np.uint64(127)).astype(np.int64), minlength=128) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
-
-
-class Members(NamedTuple):
-    """What a cell holds of its texts; ``at`` is the place of the cell's shingle in the order of each."""
-
-    node: np.ndarray
-    group: np.ndarray
-    size: np.ndarray
-    at: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-
-    def pick(self, which) -> Members:
-        return Members(*(x[which] for x in self))
-
-
-def may_match(x: Members, y: Members, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of ``x`` and ``y`` of different groups that can reach ``similarity`` if no earlier shingle is shared."""
-    size = x.size[:, None] + y.size[None, :]
-    need = np.ceil(size * (similarity / (1 + similarity)) - 1e-9)
-    rows, cols = np.nonzero((np.minimum((x.size - x.at)[:, None], (y.size - y.at)[None, :]) >= need) & (x.group[:, None] != y.group[None, :]))
-    differ = sum(np.bitwise_count((a[rows] ^ b[cols]).view(np.uint64)).astype(np.int64) for a, b in ((x.left, y.left), (x.right, y.right)))
-    good = differ <= size[rows, cols] - 2 * need[rows, cols]
-    return rows[good], cols[good]
-
-
-def _led(similarity: float):
-    """Pairs of a few leading texts with those that may match them: not all pairs, but never more than texts."""
-    def find(x: Members, y: Members) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for _ in range(LEADS):
-            if len(x.node) < 2:
-                return
-            _, cols = may_match(x.pick(slice(0, 1)), x, similarity)
-            yield np.repeat(x.node[:1], len(cols)), x.node[cols]
-            stay = np.ones(len(x.node), bool)
-            stay[0] = stay[cols] = False
-            x = x.pick(stay)
-
-    return find
-
-
-def _across(similarity: float):
-    """All pairs of different groups that may match."""
-    def find(x: Members, y: Members) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        groups, counts = np.unique(y.group, return_counts=True)
-        largest = groups[counts.argmax()]  # inside it there is nothing to compare
-        for rest, others in ((x.group != largest, slice(None)), (x.group == largest, y.group != largest)):
-            a, b = x.pick(rest), y.pick(others)
-            for start in range(0, len(a.node), 128):
-                part = a.pick(slice(start, start + 128))
-                rows, cols = may_match(part, b, similarity)
-                yield part.node[rows], b.node[cols]
-
-    return find
-
-
-def _cell_pairs(find):
-    """``find`` on each cell's two blocks of members; batches are sorted by ``token, i, j``, then in one of ``ORDERS`` orders of the
-    nodes, so that cells with the same texts have several leading ones."""
-    def emit(rows: list[np.ndarray]) -> pa.RecordBatch:
-        token, i, j, mine, *rest = rows
-        change = np.flatnonzero((token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-        starts, ends = np.r_[0, change].tolist(), np.r_[change, len(token)].tolist()
-        found: set[tuple[int, int]] = set()
-        for s, e in zip(starts, ends):
-            if e - s > 1:
-                here = Members(*(x[s:e] for x in rest))
-                x, y = (here, here) if i[s] == j[s] else (here.pick(mine[s:e] == i[s]), here.pick(mine[s:e] == j[s]))
-                if len(x.node) and len(y.node):
-                    for a, b in find(x, y):
-                        found.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist()))
-        both = np.array(sorted(found), np.int64).reshape(-1, 2)
-        return pa.record_batch([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
-
-    def run(batches):
-        kept: list[list[np.ndarray]] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            kept.append([c.to_numpy() for c in batch.columns])
-            if all(c[-1] == f[0] for c, f in zip(kept[-1][:3], kept[0])):
-                continue  # still the same cell: at most two blocks of members wait here
-            rows = [np.concatenate(x) for x in zip(*kept)]
-            last = np.flatnonzero((rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1]) | (rows[2] != rows[2][-1]))[-1] + 1
-            yield emit([x[:last] for x in rows])
-            kept = [[x[last:] for x in rows]]
-        if kept:
-            yield emit([np.concatenate(x) for x in zip(*kept)])
-
-    return run
-
-
-_MEMBER = ("node", "group", "size", "at", "left", "right")
-
-
-def _pairs(cells: DataFrame, find, all_blocks: bool) -> DataFrame:
-    """``a, b``: what ``find`` gives on the cells, in blocks of about ``CELL`` members; of each block with itself, or
-    with every other block of its cell too."""
-    blocks = F.ceil(F.col("n") / CELL).cast("int")
-    dealt = cells.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("node", "token"), "blocks").cast("int"))
-    others = F.sequence(F.lit(0), F.col("blocks") - 1) if all_blocks else F.array("mine")
-    dealt = dealt.withColumn("other", F.explode(others)).select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", *_MEMBER)
-    keys = ["token", "i", "j"]
-    order = F.xxhash64("node", F.pmod("token", F.lit(ORDERS)))
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, order, "node").mapInArrow(_cell_pairs(find), "a long, b long").distinct()
-
-
-def _common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles found more than once in a sample of texts, and their ranks. They only order the prefixes: whatever the
-    sample, no pair is lost."""
-    share = max(1, rows.count() // SAMPLE)
-    sample = rows.where(F.pmod("text_key", F.lit(share)) == 0).dropDuplicates(["text_key"]).select("text")
-
-    def make() -> Rows:
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [shingle_set(t) for t in batch.column(0).to_pylist()]
-            return pa.record_batch([pa.array(np.concatenate(sets).view(np.int64))], names=["token"])
-
-        return step
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id; rows without an id stay, as do rows
+    that repeat the id and the text of the one kept. Of other texts with that id, one stays.
 
-    counts = map_batches(sample, make, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    top = counts.orderBy(F.desc("n"), "token").limit(COMMON).toArrow()
-    tokens, n = top.column(0).to_numpy().view(np.uint64), top.column(1).to_numpy()
-    order = np.argsort(tokens)
-    return tokens[order], n[order]
-
-
-def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose shingles reach ``similarity``."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "text_key"), "node")
-
-    def sets() -> Rows:
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [shingle_set(t).tobytes() for t in batch.column(1).to_pylist()]
-            return pa.record_batch([batch.column(0), pa.array(found, pa.binary())], names=["node", "shingles"])
-
-        return step
-
-    def check() -> Rows:
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            good = [jaccard(x, y) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            return batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-        return step
-
-    one = rows.join(asked, "text_key").select("node", "text")
-    held = stage(map_batches(one, sets, "node long, shingles binary").groupBy("node").agg(F.min("shingles").alias("shingles")), "shingles")
-    if (held.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0) <= HELD:
-        held = F.broadcast(held)
-    left, right = held.select(F.col("node").alias("a"), F.col("shingles").alias("x")), held.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), check, "a long, b long", 1 << 40)
-
-
-def _grouped(rows: DataFrame, similarity: float) -> DataFrame:
-    """``id, text_key, component_id`` of rows ``id, text, text_key``.
-
-    Rows with equal shingle sets are one node. Two nodes that reach ``similarity`` share a shingle of their prefixes, and
-    meet in its cell. A first round tests the texts of a cell against a few of them, which joins large groups with few
-    tests; the second tests all pairs of a cell whose groups differ by then and that sizes, places in the order and
-    parities do not rule out. Only pairs verified on the shingles are joined.
+    A row is known by its id and a 64-bit hash of its text, so one of two texts under the same id could only be taken
+    for the other if their hashes met.
     """
-    common, ranks = _common_shingles(rows)
-
-    def make() -> Rows:
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
-            bits = np.array([parities(s) for s in sets], np.int64).reshape(-1, 2)
-            return pa.record_batch([
-                batch.column(0), batch.column(2), pa.array(np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)),
-                pa.array([len(s) for s in sets], pa.int64()), pa.array(bits[:, 0]), pa.array(bits[:, 1]),
-                pa.array([prefix(s, common, ranks, similarity).view(np.int64) for s in sets], pa.list_(pa.int64())),
-            ], names=["id", "text_key", "node", "size", "left", "right", "prefix"])
-
-        return step
-
-    marked = stage(map_batches(rows, make, "id long, text_key long, node long, size long, left long, right long, prefix array<long>"), "marks")
-    nodes = stage(marked.groupBy("node").agg(
-        F.min("id").alias("id"), F.min("text_key").alias("text_key"), *(F.first(c).alias(c) for c in ("size", "left", "right", "prefix"))), "nodes")
-    cells = nodes.select("node", "size", "left", "right", F.posexplode("prefix").alias("at", "token"))
-    shared = cells.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    cells = stage(cells.withColumn("at", F.col("at").cast("long")).join(shared, "token"), "cells")
-    tried = stage(_pairs(cells.withColumn("group", F.col("node")), _led(similarity), False), "led")
-    sure = stage(_verified(tried, rows, nodes, similarity), "sure")
-    roots = stage(components(sure).withColumnRenamed("root", "group"), "roots")
-    cells = cells.drop("n").join(roots, "node", "left").withColumn("group", F.coalesce("group", "node"))
-    cells = stage(cells, "cells")
-    mixed = cells.groupBy("token").agg(F.count("*").alias("n"), F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi").select("token", "n")
-    rest = stage(_pairs(cells.join(mixed, "token"), _across(similarity), True).join(tried, ["a", "b"], "left_anti"), "across")
-    sure = sure.unionByName(_verified(rest, rows, nodes, similarity))
-    rooted = stage(nodes.select("node", "id").join(components(sure), "node", "left").select("node", "id", F.coalesce("root", "node").alias("root")), "roots")
-    least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    return marked.select("id", "text_key", "node").join(rooted.select("node", "root").join(least, "root").select("node", "component_id"), "node").select("id", "text_key", "component_id")
-
-
-def _with_ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
-
-
-def text_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``id_col, component_id`` of rows with an id: the smallest id of each group of near-duplicate texts, which pairs of
-    Jaccard ``similarity`` on the sets of five-word shingles connect. No such pair is missed."""
-    return _grouped(_with_ids(docs, id_col, text_col), similarity).select(F.col("id").alias(id_col), "component_id")
-
-
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest id; rows without an id stay, as do all rows of
-    the group that repeat the id kept."""
-    gone = _grouped(_with_ids(docs, id_col, text_col), SIMILARITY).where("id <> component_id").select("id", "text_key").distinct()
-    return docs.join(gone, (F.col(id_col).cast("long") == F.col("id")) & (F.xxhash64(text_col) == F.col("text_key")), "left_anti").select(*docs.columns)
+    named = docs.where(F.col(id_col).isNotNull()).select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text")).alias("key"), F.col(text_col).alias("text"))
+    found = classes(fingerprints(named, "key", "text"), "key", max_bits)
+    gone = stage(found.where("key <> component_id").select("key").distinct(), "copies")
+    copy = broadcast_if_small(gone)
+    return docs.join(copy, (F.col(id_col) == copy["key"]["id"]) & (F.xxhash64(text_col) == copy["key"]["text"]), "left_anti").select(*docs.columns)

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 
 from feedloom.llm import decontaminate, licenses, sentencepiece_codec, simhash, substring_dedup, token_counts, topk, toxicity, warc
 from feedloom.llm.components import components
@@ -185,85 +186,14 @@ def test_components_of_chains_and_stars(spark):
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in range(7, 90)}}
 
 
-def test_text_groups_find_edited_copies(spark):
-    rnd = random.Random(11)
-    rows, groups = [], {}
-    for g in range(25):
-        words = [f"w{rnd.randint(0, 9999)}" for _ in range(300)]
-        for k in range(3):
-            copy = list(words)
-            for _ in range(2 * k):
-                copy[rnd.randrange(300)] = f"e{rnd.randint(0, 9999)}"
-            groups[len(rows)] = g
-            rows.append((len(rows), " ".join(copy)))
-    got = {r.doc_id: r.component_id for r in simhash.text_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert all(groups[d] == groups[c] for d, c in got.items())
-    assert sum(c == 3 * groups[d] for d, c in got.items()) >= 0.95 * len(got)
-
-
-def groups_by_hand(rows):
-    sets = {k: set(simhash.shingle_set(t).tolist()) for k, (_, t) in enumerate(rows)}
-    root = {k: k for k in sets}
-
-    def find(k):
-        while root[k] != k:
-            k = root[k]
-        return k
-
-    for a in sets:
-        for b in range(a):
-            union = len(sets[a] | sets[b])
-            if not union or len(sets[a] & sets[b]) / union >= 0.8:
-                root[max(find(a), find(b))] = min(find(a), find(b))
-    least = {}
-    for k, (i, _) in enumerate(rows):
-        least[find(k)] = min(i, least.get(find(k), i))
-    return sorted((i, least[find(k)]) for k, (i, _) in enumerate(rows))
-
-
-def test_text_groups_are_those_of_an_exact_join(spark, monkeypatch):
-    rnd = random.Random(5)
-    new = lambda n: [f"w{rnd.randint(0, 4999)}" for _ in range(n)]
-    line, texts = new(12), []
-    for g in range(20):
-        base = new(rnd.choice([30, 120, 400]))
-        n = len(base)
-        texts.append(base)
-        for share in (0.05, 0.1, 0.15, 0.2, 0.24, 0.27):
-            texts += [base + new(int(n * share)), new(int(n * share)) + base, base[:n - int(n * share)], base[:n // 2] + new(int(n * share)) + base[n // 2:]]
-        for edits in (1, n // 60, n // 45, n // 30):
-            copy = list(base)
-            for k in rnd.sample(range(n), edits):
-                copy[k] = "edited"
-            texts.append(copy)
-        texts += [line + new(20), base[::-1], base[n // 2:] + base[:n // 2]]
-    rows = [(i, " ".join(t)) for i, t in enumerate(rnd.sample(texts, len(texts)))]
-    want = groups_by_hand(rows)
-    for cell, common in ((4096, 200_000), (7, 0)):
-        monkeypatch.setattr(simhash, "CELL", cell)
-        monkeypatch.setattr(simhash, "COMMON", common)
-        assert sorted(map(tuple, simhash.text_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect())) == want
-
-
-def test_text_groups_verify_every_pair_of_a_template(spark):
-    rnd = random.Random(8)
-    base, rows = [f"t{k}" for k in range(200)], []
-    for k in range(150):  # neighbours of one template, most below 0.8 of each other, some chains above
-        copy = list(base)
-        for at in rnd.sample(range(200), rnd.choice([3, 5, 7, 9, 11])):
-            copy[at] = f"x{rnd.randint(0, 3)}"
-        rows.append((k, " ".join(copy)))
-    assert sorted(map(tuple, simhash.text_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect())) == groups_by_hand(rows)
-
-
-def test_keep_first_keeps_equal_words_in_another_order_and_other_texts_of_an_id(spark):
-    long = [f"w{k}" for k in range(60)]
-    rows = [
-        (1, "yes no"), (2, "no yes"), (3, "ha"), (4, "ha ha ha"), (5, " ".join(long)), (6, " ".join(long[::-1])),
-        (7, "YES  no"), (8, " ".join(long) + " end"), (8, "a text of its own"), (9, " ".join(long[::-1])),
-    ]
-    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sorted(map(tuple, kept)) == sorted([*rows[:6], rows[8]])
+def test_keep_first_keeps_one_of_each_component(spark, texts):
+    rows = sorted(texts.items()) + [(10_001, " ".join((texts[max(texts)] or "a").split()).upper()), (10_002, "no yes"), (10_003, "yes no"), (10_004, "Yes  no")]
+    want = {d for d, (_, c) in simhash_by_hand(rows).items() if d == c}
+    rows += [(10_003, "yes no"), (10_004, "a text of its own"), (None, "yes no")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit(1)).withColumn("id", F.lit(2)).withColumn("bits", F.lit(3))
+    kept = simhash.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted(str(tuple(r)[:2]) for r in kept.collect()) == sorted(str(r) for r in rows if r[0] is None or r[0] in want or r[1] == "a text of its own")
 
 
 @pytest.mark.parametrize("limit", [1 << 20, 40])
