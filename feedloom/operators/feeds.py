@@ -1,116 +1,80 @@
-"""Feed payloads to item rows, for RSS 1.0/RDF, RSS 2.0 and Atom."""
+"""Feed payloads to item rows, for RSS 1.0/RDF, RSS 2.0 and Atom.
+
+Element names count by namespace, which ``from_xml`` does not resolve: it sees prefixes only. So payloads are read by
+the standard library's parser inside Arrow batches, each once, into rows of two kinds: one for the poll, with what is
+wrong with it, and one for each item. All that follows is column expressions.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from feedloom import schemas
+from feedloom.functions.feed_xml import RAW, NotAFeed, read_feed
 from feedloom.functions.identifiers import guess_doi
 from feedloom.functions.text import blank_to_null, clean_all, first_filled
 
 MAX_ITEMS_PER_FEED = 0  # landed payloads are taken whole; a limit is the caller's choice
 
-_CORRUPT = "_corrupt_record string"
-_RSS1 = (
-    "item array<struct<`_rdf:about` string, title string, `dc:title` string, link string, `dc:date` string,"
-    " `prism:doi` string, `prism:publicationName` string, `dc:identifier` string>>"
-)
-_RSS2 = (
-    "channel struct<item array<struct<title string, `dc:title` string, link string, guid string,"
-    " pubDate string, `dc:date` string, description string>>>"
-)
-_ATOM = (
-    "entry array<struct<id string, title string, link array<struct<_rel string, _href string>>,"
-    " published string, updated string>>"
-)
-_RAW_FIELDS = ("title", "link", "id_like", "pub_date", "doi", "journal")
 _CLEANED_FIELDS = ("title", "pub_date", "doi", "journal")
-
-
-def dialect(content: Column) -> Column:
-    """Dialect by root element: ``rss1``, ``rss2``, ``atom``, or ``other`` (which has no items)."""
-    prolog = r"(?s)^\x{FEFF}?(?:\s++|<\?.*?\?>|<!--.*?-->|<![A-Za-z][^>]*>)*+"
-    root = F.regexp_extract(content, prolog + r"<(?:[^\s<>/:]+:)?([^\s<>/:]+)", 1)
-    has_channel = content.rlike(r"<channel[\s>]")
-    return (
-        F.when(root == "RDF", "rss1")
-        .when(root == "rss", "rss2")
-        .when(root == "feed", "atom")
-        .when(has_channel & content.contains("http://purl.org/rss/1.0/"), "rss1")
-        .when(has_channel, "rss2")
-        .otherwise("other")
+_POLL = [f for f in schemas.FEED_PAYLOADS.fields if f.name != "content"]
+_READ = T.StructType([
+    *_POLL, T.StructField("dialect", T.StringType()), T.StructField("error", T.StringType()), T.StructField("pos", T.IntegerType()),
+    *(T.StructField(c, T.StringType()) for c in RAW),
+])
+_ROWS_PER_BATCH = 2_000
+
+
+def read_feeds(payloads: DataFrame) -> DataFrame:
+    """A row for each poll (``pos`` is NULL; ``error`` says why served content cannot be read) and one for each item,
+    with its place in the document. Stage it: items, failures and poll state all come from it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, rows = to_arrow_schema(_READ), []
+        for batch in batches:
+            for k in range(batch.num_rows):
+                rows += _read_rows(batch.slice(k, 1).to_pylist()[0])
+                while len(rows) >= _ROWS_PER_BATCH:
+                    yield pa.RecordBatch.from_pylist(rows[:_ROWS_PER_BATCH], schema)
+                    rows = rows[_ROWS_PER_BATCH:]
+        yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return schemas.conform(payloads, schemas.FEED_PAYLOADS).mapInArrow(run, _READ)
+
+
+def _read_rows(payload: dict) -> list[dict]:
+    content = payload.pop("content")
+    poll = payload | dict.fromkeys(("dialect", "error", "pos", *RAW))
+    if payload["status"] is None or not 200 <= payload["status"] <= 299:
+        return [poll]
+    try:
+        dialect, items = read_feed(content)
+    except NotAFeed as e:
+        return [poll | {"error": str(e)}]
+    poll["dialect"] = dialect
+    return [poll, *(poll | item | {"pos": pos} for pos, item in enumerate(items))]
+
+
+def polls_of(read: DataFrame) -> DataFrame:
+    return read.filter(F.col("pos").isNull()).select(*(f.name for f in _POLL), "dialect", "error")
+
+
+def items_of(read: DataFrame, max_items: int = MAX_ITEMS_PER_FEED) -> DataFrame:
+    """The items of ``read_feeds``, at most ``max_items`` per payload in document order (``<= 0`` for all)."""
+    wanted = F.col("pos").isNotNull() if max_items <= 0 else F.col("pos") < max_items
+    link, ident = blank_to_null("link"), blank_to_null("ident")
+    raw = read.filter(wanted).select(
+        "feed_url", "feed_ord", "polled_at", "dialect", "pos", link.alias("link"), first_filled("about", ident, link).alias("id_like"),
+        F.array("title", "pub_date", F.coalesce("doi", guess_doi(ident, blank_to_null("description"), link)), "journal").alias("_texts"),
     )
-
-
-def _items_rss1(items: Column) -> Column:
-    def one(i: Column) -> Column:
-        title = F.coalesce(blank_to_null(i["title"]), blank_to_null(i["dc:title"]))
-        link, ident = blank_to_null(i["link"]), blank_to_null(i["dc:identifier"])
-        return F.struct(
-            title.alias("title"),
-            link.alias("link"),
-            first_filled(i["_rdf:about"], ident, link).alias("id_like"),
-            blank_to_null(i["dc:date"]).alias("pub_date"),
-            F.coalesce(blank_to_null(i["prism:doi"]), guess_doi(ident, link)).alias("doi"),
-            blank_to_null(i["prism:publicationName"]).alias("journal"),
-        )
-
-    return F.transform(items, one)
-
-
-def _items_rss2(items: Column) -> Column:
-    def one(i: Column) -> Column:
-        guid, link = blank_to_null(i["guid"]), blank_to_null(i["link"])
-        return F.struct(
-            F.coalesce(blank_to_null(i["title"]), blank_to_null(i["dc:title"])).alias("title"),
-            link.alias("link"),
-            F.coalesce(guid, link).alias("id_like"),
-            F.coalesce(blank_to_null(i["pubDate"]), blank_to_null(i["dc:date"])).alias("pub_date"),
-            guess_doi(guid, blank_to_null(i["description"]), link).alias("doi"),
-            F.lit(None).cast("string").alias("journal"),
-        )
-
-    return F.transform(items, one)
-
-
-def _items_atom(entries: Column) -> Column:
-    def one(e: Column) -> Column:
-        def href(keep) -> Column:
-            return F.get(F.filter(e["link"], keep), F.lit(0))["_href"]
-
-        # A link without rel means alternate in Atom.
-        link = first_filled(href(lambda x: x["_rel"] == "alternate"), href(lambda x: x["_rel"].isNull()))
-        entry_id = blank_to_null(e["id"])
-        return F.struct(
-            blank_to_null(e["title"]).alias("title"),
-            link.alias("link"),
-            F.coalesce(entry_id, link).alias("id_like"),
-            F.coalesce(blank_to_null(e["published"]), blank_to_null(e["updated"])).alias("pub_date"),
-            guess_doi(entry_id, link).alias("doi"),
-            F.lit(None).cast("string").alias("journal"),
-        )
-
-    return F.transform(entries, one)
-
-
-def _parsed(payloads: DataFrame) -> DataFrame:
-    """Each payload is read by the one parser of its dialect, in one scan; NULL content costs nothing."""
-    served = F.col("status").between(200, 299)
-    gated = payloads.filter(served).withColumn("dialect", dialect(F.col("content")))
-
-    def parse(name: str, ddl: str, options: dict | None = None) -> Column:
-        return F.from_xml(
-            F.when(F.col("dialect") == name, F.col("content")), f"{ddl}, {_CORRUPT}", options or {}
-        ).alias(f"_{name}")
-
-    return gated.select(
-        "*", parse("rss1", _RSS1), parse("rss2", _RSS2), parse("atom", _ATOM, {"ignoreNamespace": "true"})
-    )
-
-
-def _is_broken() -> Column:
-    corrupt = F.coalesce(*(F.col(f"_{d}._corrupt_record") for d in ("rss1", "rss2", "atom")))
-    return corrupt.isNotNull() | F.col("content").isNull() | (F.col("content") == "")
+    cleaned = raw.withColumn("_clean", clean_all(F.col("_texts")))
+    clean = {c: F.get("_clean", F.lit(k)).alias(c) for k, c in enumerate(_CLEANED_FIELDS)}
+    return cleaned.select("feed_url", "feed_ord", "polled_at", "dialect", "pos", clean["title"], "link", "id_like", clean["pub_date"], clean["doi"], clean["journal"])
 
 
 def feed_items(payloads: DataFrame, max_items: int = MAX_ITEMS_PER_FEED) -> DataFrame:
@@ -118,40 +82,32 @@ def feed_items(payloads: DataFrame, max_items: int = MAX_ITEMS_PER_FEED) -> Data
 
     Unchanged (304) and unreadable payloads give no rows.
     """
-    items = F.coalesce(
-        _items_rss1(F.col("_rss1.item")), _items_rss2(F.col("_rss2.channel.item")), _items_atom(F.col("_atom.entry"))
-    )
-    if max_items > 0:
-        items = F.slice(items, 1, max_items)
-    raw = (
-        _parsed(payloads)
-        .filter(~_is_broken())
-        .select("feed_url", "feed_ord", "dialect", F.posexplode(items).alias("pos", "i"))
-    )
-    texts = clean_all(F.array(*(F.col(f"i.{c}") for c in _CLEANED_FIELDS)))
-    cleaned = raw.select("feed_url", "feed_ord", "dialect", "pos", "i", texts.alias("_clean"))
-    return cleaned.select(
-        "feed_url", "feed_ord", "dialect", "pos",
-        *(
-            (F.get("_clean", F.lit(_CLEANED_FIELDS.index(c))) if c in _CLEANED_FIELDS else F.col(f"i.{c}")).alias(c)
-            for c in _RAW_FIELDS
-        ),
-    )
+    return items_of(read_feeds(payloads), max_items)
 
 
 def broken_payloads(payloads: DataFrame) -> DataFrame:
     """Payloads that could not be read; they count as failures and leave other feeds alone."""
-    return _parsed(payloads).filter(_is_broken()).select("feed_url", "feed_ord", "dialect", "polled_at")
+    return polls_of(read_feeds(payloads)).filter("error IS NOT NULL").select("feed_url", "feed_ord", "dialect", "polled_at", "error")
+
+
+def poll_failures(polls: DataFrame) -> tuple[int, int]:
+    """How many polls served what cannot be read, and how many were refused or ended in an error."""
+    row = polls.agg(F.count_if(F.col("error").isNotNull()).alias("broken"), F.count_if(F.col("status") >= 400).alias("refused")).first()
+    return row.broken, row.refused
 
 
 def feed_state(feeds: DataFrame, polls: DataFrame) -> DataFrame:
     """Poll state after a round of polls: 304 keeps the old validators, content replaces them.
 
-    ``polls`` may hold several polls of one feed; the last one with content counts. Failed polls change nothing.
+    ``polls`` may hold several polls of one feed; the last one with content counts. Polls that failed, or whose content
+    could not be read (``error``), change nothing.
     """
+    good = F.col("status") < 400
+    if "error" in polls.columns:
+        good &= F.col("error").isNull()
     with_content = F.when(F.col("status") != 304, F.struct("polled_at", "status"))
     last = (
-        polls.filter(F.col("status") < 400)
+        polls.filter(good)
         .groupBy("feed_url")
         .agg(
             F.max_by(F.struct("etag", "last_modified"), with_content).alias("p"),

@@ -35,13 +35,14 @@ def item_uid() -> Column:
 
 
 def dedupe_items(items: DataFrame) -> DataFrame:
-    """One row per uid: the first feed wins, and inside it the last item.
+    """One row per uid: the first feed wins, inside it the last poll, and of its items the last.
 
     A single map-side combined aggregate, so a uid with very many copies is reduced before the shuffle.
     """
     content = [c for c in items.columns if c != "uid"]
-    earliest_feed_last_item = F.struct(-F.col("feed_ord"), F.col("pos"))
-    winner = items.groupBy("uid").agg(F.max_by(F.struct(*content), earliest_feed_last_item).alias("w"))
+    polled = [F.col("polled_at")] if "polled_at" in content else []
+    winning = F.struct(-F.col("feed_ord"), *polled, F.col("pos"))
+    winner = items.groupBy("uid").agg(F.max_by(F.struct(*content), winning).alias("w"))
     return winner.select("uid", *(F.col(f"w.{c}").alias(c) for c in content))
 
 

@@ -93,8 +93,9 @@ def seen_rows(articles: DataFrame) -> DataFrame:
     )
 
 
-def find_new_items(feed_payloads: DataFrame, seen: DataFrame, max_items: int = feed_ops.MAX_ITEMS_PER_FEED) -> DataFrame:
-    items = feed_ops.feed_items(feed_payloads, max_items).drop("dialect").withColumn("uid", item_uid())
+def find_new_items(read: DataFrame, seen: DataFrame, max_items: int = feed_ops.MAX_ITEMS_PER_FEED) -> DataFrame:
+    """The items of ``feeds.read_feeds`` that the ledger does not know, one per uid."""
+    items = feed_ops.items_of(read, max_items).drop("dialect").withColumn("uid", item_uid())
     return new_items(items, seen)
 
 
@@ -127,7 +128,9 @@ def run_ingest(
 def _ingest(spark, store, feed_payloads, page_payloads, run_ts, run_id, max_items, labels, translations, compat) -> dict:
     this_run = F.col(tables.RUN) == run_id
     seen = tables.read_appended(spark, store.path("seen"), schemas.SEEN).filter(~this_run)
-    fresh = stage(find_new_items(feed_payloads, seen, max_items), "new-items")
+    feeds_read = stage(feed_ops.read_feeds(feed_payloads), "feeds-read")
+    polls = feed_ops.polls_of(feeds_read)
+    fresh = stage(find_new_items(feeds_read, seen, max_items), "new-items")
     read = stage(read_pages(fresh, page_payloads, compat), "read-pages")
     articles = stage(article_rows(read, run_ts, labels, translations), "article-rows")
 
@@ -141,11 +144,10 @@ def _ingest(spark, store, feed_payloads, page_payloads, run_ts, run_id, max_item
 
     attempts = attempt_rows(read, run_ts)
     publish(update_pending(before("pending", schemas.PENDING), attempts), "pending", schemas.PENDING)
-    publish(feed_ops.feed_state(before("feeds", schemas.FEEDS), feed_payloads), "feeds", schemas.FEEDS)
+    publish(feed_ops.feed_state(before("feeds", schemas.FEEDS), polls), "feeds", schemas.FEEDS)
 
     counts = run_status(attempts).first()
-    broken = feed_ops.broken_payloads(feed_payloads).count()
-    refused = feed_ops.failed_polls(feed_payloads).count()
+    broken, refused = feed_ops.poll_failures(polls)
     failures = counts["failures"] + broken + refused
     status = "ok" if failures == 0 else ("partial_ok" if counts["inserted"] > 0 else "error")
     log = log_row(
