@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom import schemas
+from feedloom.functions.dates import local_time
 from feedloom.functions.text import truncate
 from feedloom.operators.skew import heavy_keys, salted_join
 
@@ -71,3 +75,30 @@ def update_pending(pending: DataFrame, attempts: DataFrame) -> DataFrame:
 def retry_candidates(pending: DataFrame, max_fail: int) -> DataFrame:
     """Pending rows worth another attempt, whether or not their feed serves them again."""
     return pending.filter(F.col("fail_count") <= max_fail)
+
+
+@dataclass(frozen=True)
+class RetryPolicy:
+    """How long a failed item waits for its next attempt, and after how many failures it gets none."""
+
+    max_fail: int = 8
+    first_wait: timedelta = timedelta(hours=6)
+    factor: float = 2.0
+    longest_wait: timedelta = timedelta(days=7)
+
+
+def due_retries(pending: DataFrame, run_ts: datetime, policy: RetryPolicy = RetryPolicy()) -> DataFrame:
+    """Pending rows whose wait is over: it starts at ``first_wait`` and grows by ``factor`` with each failure."""
+    wait = F.lit(policy.first_wait.total_seconds()) * F.pow(F.lit(float(policy.factor)), F.col("fail_count") - 1)
+    seconds = F.least(wait, F.lit(policy.longest_wait.total_seconds()))
+    over = F.col("last_attempt_at") + F.make_dt_interval(secs=seconds) <= local_time(run_ts)
+    return retry_candidates(pending, policy.max_fail).filter(F.coalesce(over, F.lit(True)))
+
+
+def retry_items(due: DataFrame) -> DataFrame:
+    """Pending rows as items with the identity they have; what only a feed could say is NULL."""
+    no = F.lit(None)
+    return due.select(
+        "uid", "feed_url", no.cast("int").alias("feed_ord"), no.cast("timestamp_ntz").alias("polled_at"), no.cast("int").alias("pos"),
+        no.cast("string").alias("title"), F.col("article_url").alias("link"), no.cast("string").alias("id_like"), "pub_date", "doi",
+        no.cast("string").alias("journal"))

@@ -13,10 +13,10 @@ from feedloom.functions.identifiers import ingest_doi, is_html_type, normalize_l
 from feedloom.functions.text import first_filled
 from feedloom.functions.topics import encode_tags, label_from_answer, tagging_text, topic_array
 from feedloom.operators import feeds as feed_ops
-from feedloom.operators.identity import item_uid, new_items
+from feedloom.operators.identity import item_uid, new_items, unseen
 from feedloom.operators.merge import replace_rows
 from feedloom.operators.pages import reconcile, records_for
-from feedloom.operators.retries import update_pending
+from feedloom.operators.retries import RetryPolicy, due_retries, retry_items, update_pending
 from feedloom.operators.skew import heavy_keys, salted_join
 from feedloom.plans.runs import log_row, run_status
 from feedloom.session import stage, staging
@@ -99,6 +99,13 @@ def find_new_items(read: DataFrame, seen: DataFrame, max_items: int = feed_ops.M
     return new_items(items, seen)
 
 
+def items_to_retry(pending: DataFrame, fresh: DataFrame, seen: DataFrame, run_ts: datetime, policy: RetryPolicy) -> DataFrame:
+    """Items that failed before and are due, whether or not their feed serves them again; one that it does serve is
+    among ``fresh`` already, and one stored since has nothing to retry."""
+    due = retry_items(due_retries(pending, run_ts, policy)).join(fresh.select("uid"), "uid", "left_anti")
+    return unseen(stage(due, "due"), seen)
+
+
 def run_ingest(
     spark: SparkSession,
     store: Store,
@@ -110,31 +117,29 @@ def run_ingest(
     labels: DataFrame | None = None,
     translations: DataFrame | None = None,
     compat: bool = False,
+    retries: RetryPolicy | None = None,
 ) -> dict:
     """One ingestion run. Running it again with the same ``run_id`` leaves the same tables.
 
+    With ``retries``, items that failed in earlier runs are tried again when they are due.
     The ledger is written last: until then a repeated run finds the same new items again. A run that fails leaves an
     ``error`` row in the log, which its repetition replaces.
     """
     try:
         with staging(spark):
-            return _ingest(spark, store, feed_payloads, page_payloads, run_ts, run_id, max_items, labels, translations, compat)
+            return _ingest(spark, store, feed_payloads, page_payloads, run_ts, run_id, max_items, labels, translations, compat, retries)
     except Exception as e:
         log = log_row(spark, run_id, "ingest", run_ts, run_ts, "error", 0, f"{type(e).__name__}: {e}")
         tables.append_run(log, store.path("runs_log"), schemas.RUNS_LOG, run_id)
         raise
 
 
-def _ingest(spark, store, feed_payloads, page_payloads, run_ts, run_id, max_items, labels, translations, compat) -> dict:
+def _ingest(spark, store, feed_payloads, page_payloads, run_ts, run_id, max_items, labels, translations, compat, retries) -> dict:
     this_run = F.col(tables.RUN) == run_id
     seen = tables.read_appended(spark, store.path("seen"), schemas.SEEN).filter(~this_run)
     feeds_read = stage(feed_ops.read_feeds(feed_payloads), "feeds-read")
     polls = feed_ops.polls_of(feeds_read)
     fresh = stage(find_new_items(feeds_read, seen, max_items), "new-items")
-    read = stage(read_pages(fresh, page_payloads, compat), "read-pages")
-    articles = stage(article_rows(read, run_ts, labels, translations), "article-rows")
-
-    tables.merge_articles(spark, store.path("articles"), articles)
 
     def before(table: str, schema) -> DataFrame:
         return tables.read_snapshot(spark, store.path(table), schema, before_run=run_id)
@@ -142,6 +147,14 @@ def _ingest(spark, store, feed_payloads, page_payloads, run_ts, run_id, max_item
     def publish(df: DataFrame, table: str, schema) -> None:
         tables.write_snapshot(df, store.path(table), schema, run_id)
 
+    if retries:
+        again = items_to_retry(before("pending", schemas.PENDING), fresh, seen, run_ts, retries)
+        fresh = fresh.unionByName(stage(again, "retries"))
+    read = stage(read_pages(fresh, page_payloads, compat), "read-pages")
+    articles = stage(article_rows(read, run_ts, labels, translations), "article-rows")
+
+    tables.merge_articles(spark, store.path("articles"), articles)
+
     attempts = attempt_rows(read, run_ts)
     publish(update_pending(before("pending", schemas.PENDING), attempts), "pending", schemas.PENDING)
     publish(feed_ops.feed_state(before("feeds", schemas.FEEDS), polls), "feeds", schemas.FEEDS)
@@ -157,4 +170,6 @@ def _ingest(spark, store, feed_payloads, page_payloads, run_ts, run_id, max_item
     updated = spark.createDataFrame([(LAST_UPDATE_KEY, run_ts.isoformat(timespec="seconds"))], schemas.META)
     publish(replace_rows(before("meta", schemas.META), updated, "key"), "meta", schemas.META)
     tables.append_run(seen_rows(articles), store.path("seen"), schemas.SEEN, run_id)
+    for table, schema in (("seen", schemas.SEEN), ("runs_log", schemas.RUNS_LOG)):
+        tables.merge_runs(spark, store.path(table), schema)
     return {"inserted": counts["inserted"], "failures": failures, "status": status}

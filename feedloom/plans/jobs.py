@@ -101,12 +101,16 @@ def run_backfill(
         applied = 0
         if not dry_run and counts["to_apply"]:
             approved = stage(approve(backfill.change_summary(plan)).select("uid"), "approved") if approve else None
-            changes = backfill.approved_changes(plan, approved)
+            changes = stage(backfill.approved_changes(plan, approved), "changes")
             applied = changes.count()
-            days = tables.touched_days(articles, changes)
-            if days:
-                old = articles.filter(tables.on_days(days)).drop(tables.DAY)
-                tables.write_articles(backfill.apply_plan(old, plan, run_ts, approved), path)
+
+            def write(version: tables.Version) -> None:
+                now = tables.read_articles(spark, path, version=version)
+                if days := tables.touched_days(now, changes):
+                    old = now.filter(tables.on_days(days)).drop(tables.DAY)
+                    tables.write_articles(backfill.apply_plan(old, plan, run_ts, approved), path, version)
+
+            tables.write_again_on_conflict(write, spark, path)
         skipped = 0 if dry_run else counts["to_apply"] - applied
         notes = "; ".join([
             f"mode={'doi_mode' if doi_mode else 'date_range'}", f"rows={counts['rows']}", f"applied={applied}", f"skipped={skipped}",

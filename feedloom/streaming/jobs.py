@@ -75,6 +75,7 @@ def ledger_stream(
                 F.lit(None).cast("timestamp_ntz").alias("first_seen_at"),
             )
             tables.append_run(first, ledger, schemas.SEEN, run)
+        tables.merge_runs(spark, ledger, schemas.SEEN)
 
     _run_available(items, on_batch, checkpoint)
     return tables.read_appended(spark, ledger, schemas.SEEN)
@@ -83,7 +84,7 @@ def ledger_stream(
 def pending_stream(
     spark: SparkSession, attempts: DataFrame, prepare: Callable[[DataFrame], DataFrame], table: str, checkpoint: str
 ) -> DataFrame:
-    """The retry table after all batches of attempts, one snapshot per batch."""
+    """The retry table after all batches of attempts; each writes a snapshot, of which the last few stay."""
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         run = _run_id(batch, batch_id)
         pending = tables.read_snapshot(spark, table, schemas.PENDING, before_run=run)

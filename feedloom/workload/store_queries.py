@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from feedloom import schemas
 from feedloom.functions.dates import is_incomplete_date
 from feedloom.operators.identity import item_uid
 from feedloom.operators.merge import delete_keys, insert_ignore, replace_rows, upsert_articles
-from feedloom.operators.retries import retry_candidates, update_pending
+from feedloom.operators.retries import RetryPolicy, due_retries, retry_candidates, retry_items, update_pending
 from feedloom.plans import backfill
 from feedloom.plans.runs import run_status
 from feedloom.session import fresh_path, stage
@@ -111,6 +111,14 @@ def retry_candidates_query(spark, sf):
     return retry_candidates(_pending(spark, sf), 1).select("uid", "fail_count")
 
 
+@query("retry_due", _pending_sql("""SELECT uid, article_url AS link, CAST(NULL AS VARCHAR) AS title FROM pending WHERE fail_count <= 3
+  AND last_attempt_at + to_seconds(least(172800 * pow(2, fail_count - 1), 345600)) <= TIMESTAMP '2024-01-25 00:00:00'"""))
+def retry_due(spark, sf):
+    """Failed items whose wait is over, as items of the next run."""
+    policy = RetryPolicy(3, timedelta(days=2), 2.0, timedelta(days=4))
+    return retry_items(due_retries(_pending(spark, sf), datetime(2024, 1, 25), policy)).select("uid", "link", "title")
+
+
 @query("pending_delete", sql_with("SELECT uid FROM pending_v WHERE uid NOT IN (SELECT uid FROM fetch_attempts_v WHERE ok)", "fetch_attempts_v", "pending_v"))
 def pending_delete(spark, sf):
     stored = view(spark, sf, "fetch_attempts_v").filter("ok")
