@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from feedloom.functions.identifiers import ingest_doi, is_html_type, normalize_l
 from feedloom.functions.text import first_filled
 from feedloom.functions.topics import encode_tags, label_from_answer, tagging_text, topic_array
 from feedloom.operators import feeds as feed_ops
-from feedloom.operators.identity import item_uid, new_items, unseen
+from feedloom.operators.identity import dedupe_items, item_uid, new_items, unseen
 from feedloom.operators.merge import replace_rows
 from feedloom.operators.pages import reconcile, records_for
 from feedloom.operators.retries import RetryPolicy, due_retries, retry_items, update_pending
@@ -95,15 +96,18 @@ def seen_rows(articles: DataFrame) -> DataFrame:
 
 def find_new_items(read: DataFrame, seen: DataFrame, max_items: int = feed_ops.MAX_ITEMS_PER_FEED) -> DataFrame:
     """The items of ``feeds.read_feeds`` that the ledger does not know, one per uid."""
-    items = feed_ops.items_of(read, max_items).drop("dialect").withColumn("uid", item_uid())
-    return new_items(items, seen)
+    return new_items(_identified(read, max_items), seen)
 
 
-def items_to_retry(pending: DataFrame, fresh: DataFrame, seen: DataFrame, run_ts: datetime, policy: RetryPolicy) -> DataFrame:
+def _identified(read: DataFrame, max_items: int) -> DataFrame:
+    return feed_ops.items_of(read, max_items).drop("dialect").withColumn("uid", item_uid())
+
+
+def items_to_retry(pending: DataFrame, fresh: DataFrame, ledger: Callable[[DataFrame], DataFrame], run_ts: datetime, policy: RetryPolicy) -> DataFrame:
     """Items that failed before and are due, whether or not their feed serves them again; one that it does serve is
-    among ``fresh`` already, and one stored since has nothing to retry."""
-    due = retry_items(due_retries(pending, run_ts, policy)).join(fresh.select("uid"), "uid", "left_anti")
-    return unseen(stage(due, "due"), seen)
+    among ``fresh`` already, and one stored since has nothing to retry. ``ledger`` gives what is known of some uids."""
+    due = stage(retry_items(due_retries(pending, run_ts, policy)).join(fresh.select("uid"), "uid", "left_anti"), "due")
+    return unseen(due, ledger(due))
 
 
 def run_ingest(
@@ -136,10 +140,14 @@ def run_ingest(
 
 def _ingest(spark, store, feed_payloads, page_payloads, run_ts, run_id, max_items, labels, translations, compat, retries) -> dict:
     this_run = F.col(tables.RUN) == run_id
-    seen = tables.read_appended(spark, store.path("seen"), schemas.SEEN).filter(~this_run)
     feeds_read = stage(feed_ops.read_feeds(feed_payloads), "feeds-read")
     polls = feed_ops.polls_of(feeds_read)
-    fresh = stage(find_new_items(feeds_read, seen, max_items), "new-items")
+    batch = stage(dedupe_items(_identified(feeds_read, max_items)), "batch-items")
+
+    def ledger(keys: DataFrame) -> DataFrame:
+        return tables.read_ledger(spark, store.path("seen"), schemas.SEEN, keys).filter(~this_run)
+
+    fresh = stage(unseen(batch, ledger(batch)), "new-items")
 
     def before(table: str, schema) -> DataFrame:
         return tables.read_snapshot(spark, store.path(table), schema, before_run=run_id)
@@ -148,7 +156,7 @@ def _ingest(spark, store, feed_payloads, page_payloads, run_ts, run_id, max_item
         tables.write_snapshot(df, store.path(table), schema, run_id)
 
     if retries:
-        again = items_to_retry(before("pending", schemas.PENDING), fresh, seen, run_ts, retries)
+        again = items_to_retry(before("pending", schemas.PENDING), fresh, ledger, run_ts, retries)
         fresh = fresh.unionByName(stage(again, "retries"))
     read = stage(read_pages(fresh, page_payloads, compat), "read-pages")
     articles = stage(article_rows(read, run_ts, labels, translations), "article-rows")
@@ -170,6 +178,6 @@ def _ingest(spark, store, feed_payloads, page_payloads, run_ts, run_id, max_item
     updated = spark.createDataFrame([(LAST_UPDATE_KEY, run_ts.isoformat(timespec="seconds"))], schemas.META)
     publish(replace_rows(before("meta", schemas.META), updated, "key"), "meta", schemas.META)
     tables.append_run(seen_rows(articles), store.path("seen"), schemas.SEEN, run_id)
-    for table, schema in (("seen", schemas.SEEN), ("runs_log", schemas.RUNS_LOG)):
-        tables.merge_runs(spark, store.path(table), schema)
+    tables.merge_runs(spark, store.path("seen"), schemas.SEEN, key="uid")
+    tables.merge_runs(spark, store.path("runs_log"), schemas.RUNS_LOG)
     return {"inserted": counts["inserted"], "failures": failures, "status": status}

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from feedloom import schemas
 from feedloom.operators.merge import upsert_articles
-from feedloom.session import broadcast_if_small
+from feedloom.session import broadcast_if_small, is_small
 
 DAY = "fetched_date"
 VERSION, MANIFESTS = "version", "_manifests"
@@ -230,6 +230,8 @@ def merge_articles(spark: SparkSession, path: str, updates: DataFrame) -> None:
 
 MERGES, MERGED = "_merges", "merged-"
 KEEP_RUNS = 64
+BUCKET, BUCKETS = "bucket", 256
+_BUCKET_FIELD = T.StructField(BUCKET, T.IntegerType())
 
 
 def _merge_record(spark: SparkSession, path: str) -> tuple[int, str | None, set[str]]:
@@ -253,15 +255,38 @@ def _run_folders(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     return sorted(f for f in found if f[1] == made or not (f[1] in replaced or f[1].startswith(f"{RUN}={MERGED}")))
 
 
-def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All rows with the run that appended them; rows of merged runs keep theirs."""
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def _rows_of(spark: SparkSession, path: str, schema: T.StructType, names: list[str], buckets: list[int] | None = None) -> DataFrame:
+    """The rows of run folders with the run that appended each; of merged folders only the named buckets."""
     whole = T.StructType([*schema.fields, _RUN_FIELD])
-    folders = [name for _, name in _run_folders(spark, path)]
-    if not folders:
-        return spark.createDataFrame([], whole)
-    kept = T.StructType([*schema.fields, _MERGED_RUN, _RUN_FIELD])
-    rows = spark.read.schema(kept).option("basePath", path).parquet(*(f"{path}/{f}" for f in folders))
-    return rows.select(*schema.names, F.coalesce(_MERGED_RUN.name, RUN).alias(RUN))
+    out = spark.createDataFrame([], whole)
+    single = [n for n in names if not n.startswith(f"{RUN}={MERGED}")]
+    if single:
+        out = spark.read.schema(whole).option("basePath", path).parquet(*(f"{path}/{n}" for n in single)).select(*whole.names)
+    for name in set(names) - set(single):
+        rows = spark.read.schema(T.StructType([*schema.fields, _MERGED_RUN, _BUCKET_FIELD])).parquet(f"{path}/{name}")
+        if buckets is not None:
+            rows = rows.filter(F.col(BUCKET).isin(buckets))
+        rows = rows.select(*schema.names, F.col(_MERGED_RUN.name).alias(RUN))
+        out = out.unionByName(rows) if single else rows
+    return out
+
+
+def read_appended(spark: SparkSession, path: str, schema: T.StructType, buckets: list[int] | None = None) -> DataFrame:
+    """All rows with the run that appended them, also of merged runs. ``buckets`` leaves out merged rows of others."""
+    return _rows_of(spark, path, schema, [name for _, name in _run_folders(spark, path)], buckets)
+
+
+def read_ledger(spark: SparkSession, path: str, schema: T.StructType, keys: DataFrame, key: str = "uid") -> DataFrame:
+    """The rows of a bucketed table that ``keys`` can meet, and others: for a small batch only the folders of its
+    buckets are opened. What the driver gets is a list of bucket numbers."""
+    buckets = None
+    if is_small(keys.select(key)):
+        buckets = sorted(r[0] for r in keys.select(bucket_of(key).alias(BUCKET)).distinct().collect())
+    return read_appended(spark, path, schema, buckets)
 
 
 def append_run(df: DataFrame, path: str, schema: T.StructType, run_id: str) -> None:
@@ -271,12 +296,13 @@ def append_run(df: DataFrame, path: str, schema: T.StructType, run_id: str) -> N
     schemas.conform(df, schema).write.mode("overwrite").parquet(f"{path}/{RUN}={name}")
 
 
-def merge_runs(spark: SparkSession, path: str, schema: T.StructType, keep: int = KEEP_RUNS, least: int = KEEP_RUNS) -> bool:
+def merge_runs(spark: SparkSession, path: str, schema: T.StructType, keep: int = KEEP_RUNS, least: int = KEEP_RUNS, key: str | None = None) -> bool:
     """Merge the folders of all runs but the last ``keep`` into one, once there are ``least`` of them; whether it did.
 
     The last ``keep`` runs can be repeated: their folders stay their own. The folder of a merged run that is written
     again is not read. Folders that a merge stands for are removed by the next one, so that readers of the time before
-    keep their files. Of two merges at once, one is refused.
+    keep their files. Of two merges at once, one is refused. With ``key``, merged rows lie in buckets of its hash, sorted
+    by it, for ``read_ledger``.
     """
     number, made, replaced = _merge_record(spark, path)
     old = [name for _, name in _run_folders(spark, path) if name != made]
@@ -284,10 +310,12 @@ def merge_runs(spark: SparkSession, path: str, schema: T.StructType, keep: int =
     if len(old) < max(1, least):
         return False
     gone, new = [*old, *([made] if made else [])], f"{RUN}={MERGED}{uuid.uuid4().hex}"
-    whole = T.StructType([*schema.fields, _MERGED_RUN, _RUN_FIELD])
-    rows = spark.read.schema(whole).option("basePath", path).parquet(*(f"{path}/{f}" for f in gone))
-    run = F.coalesce(_MERGED_RUN.name, RUN).alias(_MERGED_RUN.name)
-    rows.select(*schema.names, run).hint("rebalance").write.parquet(f"{path}/{new}")
+    rows = _rows_of(spark, path, schema, gone).withColumnRenamed(RUN, _MERGED_RUN.name)
+    if key:
+        rows = rows.withColumn(BUCKET, bucket_of(key)).hint("rebalance", F.col(BUCKET)).sortWithinPartitions(BUCKET, key)
+        rows.write.partitionBy(BUCKET).parquet(f"{path}/{new}")
+    else:
+        rows.hint("rebalance").write.parquet(f"{path}/{new}")
     try:
         _publish_lines(spark, f"{path}/{MERGES}", number + 1, [f"+{new}", *gone])
     except VersionConflict:

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedloom import schemas
-from feedloom.operators.identity import new_items
+from feedloom.operators.identity import dedupe_items, unseen
 from feedloom.operators.retries import update_pending
 from feedloom.plans.ingest import run_ingest
-from feedloom.session import staging
+from feedloom.session import stage, staging
 from feedloom.sources import tables
 from feedloom.sources.tables import Store
 
@@ -68,14 +68,15 @@ def ledger_stream(
     """Exact first-seen items over all batches: anti-join with the ledger, then append under the batch id."""
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         run = _run_id(batch, batch_id)
-        seen = tables.read_appended(spark, ledger, schemas.SEEN).filter(F.col(tables.RUN) != run)
         with staging(spark):
-            first = new_items(prepare(batch), seen).select(
+            items = stage(dedupe_items(prepare(batch)), "batch-items")
+            seen = tables.read_ledger(spark, ledger, schemas.SEEN, items).filter(F.col(tables.RUN) != run)
+            first = unseen(items, seen).select(
                 "uid", "feed_url", F.col("link").alias("article_url"), "doi", "pub_date",
                 F.lit(None).cast("timestamp_ntz").alias("first_seen_at"),
             )
             tables.append_run(first, ledger, schemas.SEEN, run)
-        tables.merge_runs(spark, ledger, schemas.SEEN)
+        tables.merge_runs(spark, ledger, schemas.SEEN, key="uid")
 
     _run_available(items, on_batch, checkpoint)
     return tables.read_appended(spark, ledger, schemas.SEEN)

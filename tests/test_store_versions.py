@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom import schemas
+from feedloom.operators.identity import unseen
 from feedloom.operators.retries import RetryPolicy, due_retries
 from feedloom.plans.ingest import run_ingest
 from feedloom.sources import tables
@@ -98,6 +99,26 @@ def test_many_runs_leave_few_folders(spark, store, tmp_path):
     assert {r.uid: r[tables.RUN] for r in rows} == ledger and len(rows) == len(ledger)
 
 
+def test_a_small_batch_opens_the_buckets_of_its_uids(spark, store):
+    path = store.path("seen")
+    for k in range(3):
+        uids = spark.range(400).select(F.concat(F.lit(f"u{k}-"), "id").alias("uid"))
+        tables.append_run(schemas.conform(uids, schemas.SEEN), path, schemas.SEEN, f"r{k}")
+    assert tables.merge_runs(spark, path, schemas.SEEN, keep=1, least=1, key="uid")
+    tables.append_run(schemas.conform(spark.createDataFrame([("late",)], "uid string"), schemas.SEEN), path, schemas.SEEN, "r3")
+    batch = spark.createDataFrame([("u0-7", 0), ("u1-399", 1), ("u2-3", 2), ("late", 3), ("new", 4), (None, 5)], "uid string, pos int")
+    ledger = tables.read_ledger(spark, path, schemas.SEEN, batch)
+    whole = tables.read_appended(spark, path, schemas.SEEN)
+    assert "PartitionFilters: [bucket" in ledger._jdf.queryExecution().executedPlan().toString()
+    opened = lambda df: {f for f in df.inputFiles() if "bucket=" in f}
+    wanted = {r[0] for r in batch.select(tables.bucket_of("uid")).distinct().collect()}
+    # ``inputFiles`` names all files of a relation; what is scanned is what holds rows of the buckets.
+    assert ledger.filter("run <> 'r3' AND run <> 'r2'").select(tables.bucket_of("uid").alias("b")).distinct().count() <= len(wanted) < len(opened(whole))
+    assert {r.uid for r in unseen(batch, ledger).collect()} == {r.uid for r in unseen(batch, whole).collect()} == {"new", None}
+    assert whole.count() == 1_201 and whole.groupBy("run").count().count() == 4
+    assert tables.merge_runs(spark, path, schemas.SEEN, keep=1, least=1, key="uid") and tables.read_appended(spark, path, schemas.SEEN).count() == 1_201
+
+
 def test_a_merge_lost_before_publishing_and_one_at_once(spark, store, monkeypatch):
     path = store.path("seen")
     for k in range(4):
