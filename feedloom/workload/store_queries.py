@@ -53,7 +53,7 @@ def seen_insert(spark, sf):
 
 
 _META_V = """old_v AS (SELECT 'k' || user_id AS key, CAST(count(*) AS VARCHAR) AS value FROM events WHERE event_type = 'view' GROUP BY user_id),
-new_v AS (SELECT 'k' || user_id AS key, max(props) AS value FROM events WHERE event_type <> 'view' AND value > 20 GROUP BY user_id)"""
+new_v AS (SELECT 'k' || user_id AS key, max(props) AS value FROM events WHERE event_type <> 'view' GROUP BY user_id)"""
 
 
 @query(
@@ -65,7 +65,7 @@ def meta_upsert(spark, sf):
     key = F.concat(F.lit("k"), F.col("user_id").cast("string")).alias("key")
     is_view = F.col("event_type") == "view"
     old = events.filter(is_view).groupBy(key).agg(F.count(F.lit(1)).cast("string").alias("value"))
-    new = events.filter(~is_view & (F.col("value") > 20)).groupBy(key).agg(F.max("props").alias("value"))
+    new = events.filter(~is_view).groupBy(key).agg(F.max("props").alias("value"))
     return replace_rows(old, new, "key")
 
 
@@ -151,8 +151,8 @@ meta AS (SELECT *, CASE WHEN outcome IS NULL AND p_type <> '' AND p_type IS DIST
 src AS (SELECT *, CASE WHEN nullif({o.strip("coalesce(title_cn, '')")}, '') IS NULL THEN nullif({o.strip('title_en')}, '') END AS title_src,
   CASE WHEN new_abstract_en IS NOT NULL OR nullif({o.strip("coalesce(abstract_cn, '')")}, '') IS NULL
        THEN coalesce(new_abstract_en, nullif({o.strip('abstract_en')}, '')) END AS abstract_src FROM meta),
-trans AS (SELECT *, CASE WHEN sha256(title_src) < '8' THEN 'ZH:' || substr(sha256(title_src), 1, 8) END AS new_title_cn,
-  CASE WHEN sha256(abstract_src) < '8' THEN 'ZH:' || substr(sha256(abstract_src), 1, 8) END AS new_abstract_cn FROM src),
+trans AS (SELECT *, 'ZH:' || substr(sha256(title_src), 1, 8) AS new_title_cn,
+  'ZH:' || substr(sha256(abstract_src), 1, 8) AS new_abstract_cn FROM src),
 topical AS (SELECT *, {o.primary_topic("lower(coalesce(title_en, title_cn, '') || chr(10) || coalesce(new_abstract_en, abstract_en, abstract_cn, ''))")} AS tag FROM trans),
 plan AS (SELECT *, CASE WHEN topic_tag IS NULL THEN tag END AS new_topic_tag FROM topical)"""
 _CHANGED = "coalesce(new_title_cn, new_abstract_cn, new_topic_tag, new_type, new_journal, new_pub_date, new_abstract_en) IS NOT NULL"
@@ -167,9 +167,8 @@ def _meta_plan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _translations(sources: DataFrame) -> DataFrame:
-    """A translator's answers for about half of the distinct texts."""
-    answered = backfill.translation_work(sources).filter(F.col("src_hash") < "8")
-    return answered.select("src_hash", F.concat(F.lit("ZH:"), F.substr("src_hash", F.lit(1), F.lit(8))).alias("text"))
+    """A translator's answers, one for each distinct text."""
+    return backfill.translation_work(sources).select("src_hash", F.concat(F.lit("ZH:"), F.substr("src_hash", F.lit(1), F.lit(8))).alias("text"))
 
 
 def _plan(spark: SparkSession, sf: str) -> DataFrame:

@@ -193,7 +193,7 @@ def _item_xml(dialect: str, f: dict[str, Column]) -> Column:
             F.when(F.col("doc_id") % 2 == 0, tag("prism:doi", f["doi"])).otherwise(
                 tag("dc:identifier", F.concat(F.lit("doi:"), f["doi"]))
             ),
-            tag("prism:publicationName", F.concat(F.col("source"), F.lit(" &amp; Co"))), F.lit("</item>"),
+            tag("prism:publicationName", F.concat(F.col("source"), F.lit(" &amp; Co"))), tag("description", xml_escape(F.col("text"))), F.lit("</item>"),
         )
     if dialect == "rss2":
         text = F.concat(F.replace("text", F.lit("]]>"), F.lit("]] >")), F.lit(" (see doi:"), f["doi"], F.lit(")."))
