@@ -6,6 +6,9 @@ publisher with its own layout, are handed to a document tree; all other pages tr
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from itertools import chain
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -139,12 +142,15 @@ def meta_tags(html: Column) -> Column:
     return F.transform(pairs, lambda p: F.struct(*(value(p, k) for k in ("name", "property", "content"))))
 
 
-def content_by(tags: Column | str, attribute: str = "name") -> Column:
-    """Map from the value of ``attribute`` to the content of the first tag that has it."""
-    tags = as_col(tags)
-    keys = F.transform(tags, lambda t: t[attribute])
-    firsts = F.filter(tags, lambda t, i: F.array_position(keys, t[attribute]) == i + 1)
-    return F.map_from_entries(F.transform(firsts, lambda t: F.struct(t[attribute], t["content"])))
+def content_by(tags: Column | str, names: Iterable[str], attribute: str = "name") -> Column:
+    """Map from those of ``names`` that ``attribute`` has to the content of the first such tag.
+
+    Only tags with these names are looked at, and each name once, so a page of very many tags costs linear time.
+    """
+    asked = F.array(*(F.lit(n) for n in dict.fromkeys(names)))
+    known = F.filter(as_col(tags), lambda t: F.array_contains(asked, t[attribute]))
+    present = F.array_intersect(asked, F.transform(known, lambda t: t[attribute]))
+    return F.map_from_entries(F.transform(present, lambda n: F.struct(n, F.get(F.filter(known, lambda t: t[attribute] == n), F.lit(0))["content"])))
 
 
 def meta_content(contents: Column | str, *names: str) -> Column:
@@ -170,6 +176,11 @@ _GENERIC_META = {
 _META_FIELDS = ("journal", "title", "doi", "date_published", "type")
 
 
+def _says(text: Column) -> Column:
+    """Whether anything is left of an entity-encoded text but blanks."""
+    return F.regexp_replace(text, r"(?i)(?U)&(?:nbsp|ensp|emsp|thinsp|#160|#xa0|#32|#x20|#10|#13|#9);|&amp;nbsp;|\s", "") != ""
+
+
 def extract_records(
     pages: DataFrame,
     url: str = "url",
@@ -189,8 +200,8 @@ def extract_records(
     )
     picked = (
         scanned.withColumn("_article", pick_article(ld_objects(F.col("_ld"))))
-        .withColumn("_names", content_by("_metas"))
-        .withColumn("_properties", content_by("_metas", "property"))
+        .withColumn("_names", content_by("_metas", chain(*_GENERIC_META.values(), *_PUBLISHER_META.values())))
+        .withColumn("_properties", content_by("_metas", ("og:description",), "property"))
     )
     ld, generic_meta, own_meta = ld_fields(F.col("_article")), dict(_GENERIC_META), dict(_PUBLISHER_META)
     raw = picked.select(
@@ -209,7 +220,7 @@ def extract_records(
     described = [F.get("_j", F.lit(list(ld).index("abstract")))] + [
         F.get("_m", F.lit(list(generic_meta).index(f))) for f in ("m_description1", "m_description2")
     ]
-    wants_block = F.coalesce(*described).isNull() & F.col(html).rlike(_BLOCK_HINT)
+    wants_block = F.coalesce(*(F.when(_says(d), d) for d in described)).isNull() & F.col(html).rlike(_BLOCK_HINT)
     own_html = F.when(F.col("_own_layout"), F.col(html))
     texts = raw.select(
         *keep,

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from feedloom.session import stage
 
+SLICE_ROWS = 1_000_000
+
 
 def first_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows of every group; ``n <= 0`` keeps all.
@@ -33,12 +35,17 @@ def rank_within(
     order: Sequence[Column],
     name: str,
     slices: int | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Row number per group without ever gathering a group in one task.
 
     Rows are range-partitioned by group and order, so a large group spans many slices. The slice of each row
     is written down (a later recomputation could draw other range bounds). A row's number is its number inside
     the slice plus the rows of its group in earlier slices, known from one small count per group and slice.
+
+    Bounds come from quantiles of the keys. If a slice has more than ``slice_rows`` rows all the same, there are cut
+    as many more slices as that takes, whatever the session's number of partitions; only rows that tie in group and
+    order stay together.
     """
     spark = df.sparkSession
     group = list(group)
@@ -46,10 +53,13 @@ def rank_within(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
     by_group = [F.col(g).asc_nulls_first() for g in group]
-    sliced = stage(
-        df.repartitionByRange(slices, *by_group, *order).withColumn("_slice", F.spark_partition_id()),
-        "rank",
-    )
+    largest, rows = None, df
+    while True:
+        sliced = stage(rows.repartitionByRange(slices, *by_group, *order).withColumn("_slice", F.spark_partition_id()), "rank")
+        before, largest = largest, sliced.groupBy("_slice").count().agg(F.max("count")).first()[0] or 0
+        if largest <= slice_rows or before == largest:
+            break
+        slices, rows = slices * (largest // slice_rows + 1), sliced.drop("_slice")
     sizes = sliced.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     earlier = (
         Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

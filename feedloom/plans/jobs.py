@@ -5,7 +5,8 @@ Ingestion is ``feedloom.plans.ingest.run_ingest``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +20,22 @@ from feedloom.sources import tables, text_sinks
 from feedloom.sources.tables import Store
 
 
-def _log(spark, store: Store, run_id: str, script: str, run_ts: datetime, rows: int, notes: str) -> None:
-    row = log_row(spark, run_id, script, run_ts, run_ts, "ok", rows, notes)
+def _log(spark, store: Store, run_id: str, script: str, run_ts: datetime, rows: int, notes: str, status: str = "ok") -> None:
+    row = log_row(spark, run_id, script, run_ts, run_ts, status, rows, notes)
     tables.append_run(row, store.path("runs_log"), schemas.RUNS_LOG, run_id)
 
 
+@contextmanager
+def _job(spark: SparkSession, store: Store, run_id: str, script: str, run_ts: datetime) -> Iterator[None]:
+    """A job's staged tables go at its end; one that fails leaves an ``error`` row, which its repetition replaces."""
+    try:
+        with staging(spark):
+            yield
+    except Exception as e:
+        _log(spark, store, run_id, script, run_ts, 0, f"{type(e).__name__}: {e}", "error")
+        raise
+
+
 def run_digest(
     spark: SparkSession,
     store: Store,
@@ -35,7 +47,7 @@ def run_digest(
     limit: int = reports.DIGEST_LIMIT,
 ) -> int:
     """Write the Markdown digest; for one without a limit see also ``write_digest_by_journal``."""
-    with staging(spark):
+    with _job(spark, store, run_id, "digest", run_ts):
         since = (run_ts - timedelta(days=since_days)).date()
         articles = tables.read_articles(spark, store.path("articles"), first=since)
         items = stage(reports.digest_items(articles, run_ts, topics, since_days, limit), "digest")
@@ -55,7 +67,7 @@ def run_latest(
     limit: int = reports.LISTING_LIMIT,
 ) -> int:
     """Write the numbered listing of the newest articles, reading only the days that can hold them."""
-    with staging(spark):
+    with _job(spark, store, run_id, "latest", run_ts):
         path = store.path("articles")
         about = tables.read_articles(spark, path).filter(has_topic("topic_tag", topics))
         articles = tables.read_articles(spark, path, first=tables.newest_days(about, limit))
@@ -86,7 +98,7 @@ def run_backfill(
     ``translate`` turns work ``(src_hash, text)`` into answers of the same shape; ``approve`` turns the change
     summary ``(uid, changes)`` into the uids that may be written. Only the days with changes are rewritten.
     """
-    with staging(spark):
+    with _job(spark, store, run_id, "backfill", run_ts):
         doi_mode = dois is not None
         path = store.path("articles")
         articles = tables.read_articles(spark, path)
