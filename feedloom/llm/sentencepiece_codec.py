@@ -3,8 +3,8 @@
 The model is a byte-pair one, whose lattice keeps one back-pointer for each position (``Lattice``); following them
 from the end gives the library's ids. The encoder reads characters as they come and keeps the back-pointers of a window
 only. Paths survive at the alive positions, at most the longest piece back; as soon as all of them run through one
-boundary, the pieces before it are committed and leave the window. Words between boundaries that no piece spans are
-remembered per task.
+boundary, the pieces before it are committed and leave the window. Where no piece spans a word's start, the lattice runs once per
+distinct word of a task, and the ids of texts are gathered from a table of words.
 
 Defined results: null text, null ids and null text again; an empty text has no ids; repeated rows are encoded each on
 their own; very long texts and words stream through the bounded window; empty tables give no rows. Decoding gives the
@@ -15,16 +15,20 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from feedloom.llm.bpe_lattice import SPACE, Lattice, Pieces, load_pieces
 from feedloom.llm.common import Rows, map_batches
+from feedloom.llm.word_batches import WordLists
 
 MEMO_WORDS = 700_000
+TABLE_IDS = 2_000_000
 _CHECK_EVERY = 32
 
 
@@ -107,6 +111,7 @@ class Codec:
         self.shown = [n.replace(SPACE, " ").encode() for n in self.pieces.names]
         for byte, i in enumerate(self.pieces.byte_ids):
             self.shown[i] = bytes([byte])
+        self.table = WordLists(self.encode_words, TABLE_IDS)
 
     def stream(self, text: str) -> list[int]:
         encoder = Encoder(self.lattice)
@@ -133,25 +138,50 @@ class Codec:
                 runs += map(self.marked.__getitem__, words)
         return runs
 
+    def encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, each streamed through the lattice; every one is decoded again, as a proof."""
+        found = []
+        for word in words.to_pylist():
+            found.append(self.stream(word.replace(" ", SPACE)))
+            if b"".join(map(self.shown.__getitem__, found[-1])).decode() != word.replace(SPACE, " "):
+                raise ValueError("ids that do not decode to their word")
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())), counts
+
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """The ids of all texts in a row, how many each has, and whether they decode to the very text."""
+        if self.by_words:
+            if self.pieces.dummy_prefix:  # the mark in front of a text is like a space there
+                texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(pa.scalar(" "), texts, pa.scalar("")))
+            flat, counts = self.table.texts(texts)
+            return flat, counts, pc.fill_null(pc.invert(pc.match_substring(texts, SPACE)), True)
+        plain = texts.to_pylist()
+        ids = [[] if t is None else self.encode(t) for t in plain]
+        counts = np.array([len(i) for i in ids], np.int64)
+        exact = [t is None or self.decode(i) == t for i, t in zip(ids, plain)]
+        return np.fromiter(chain.from_iterable(ids), np.int32, counts.sum()), counts, pa.array(exact, pa.bool_())
+
     def decode(self, ids: list[int]) -> str:
         out = b"".join(map(self.shown.__getitem__, ids))
         text = out.decode(errors="replace")
         return text[1:] if self.pieces.dummy_prefix and text.startswith(" ") else text
 
 
+@lru_cache(maxsize=1)
+def shared_codec(model: str) -> Codec:
+    """The codec of a Python worker: later tasks in it go on with the states and words that earlier ones met."""
+    return Codec(model)
+
+
 def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_ids, ids, exact``; ``exact`` says whether decoding the ids gives the very text."""
     def make() -> Rows:
-        codec = Codec(model)
+        codec = shared_codec(model)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = batch.column(1).to_pylist()
-            ids = [[] if t is None else codec.encode(t) for t in texts]
-            counts = np.array([len(i) for i in ids], np.int64)
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, counts.sum())
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(flat), mask=pa.array([t is None for t in texts]))
-            exact = [t is None or codec.decode(i) == t for i, t in zip(ids, texts)]
-            return pa.record_batch([batch.column(0), pa.array(counts), lists, pa.array(exact, pa.bool_())], names=[id_col, "n_ids", "ids", "exact"])
+            flat, counts, exact = codec.encode_batch(batch.column(1))
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(flat, pa.int32()), mask=pc.is_null(batch.column(1)))
+            return pa.record_batch([batch.column(0), pa.array(counts), lists, exact], names=[id_col, "n_ids", "ids", "exact"])
 
         return step
 
