@@ -94,6 +94,17 @@ def rewrite_text(df: DataFrame, fn: Callable[[], Callable[[list], list]], text:
     return map_batches(df, make, df.schema)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores behind those that ``df`` has already (in any case of letters)."""
+    used, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def row_keys(df: DataFrame, key: str, *columns: str) -> DataFrame:
     """The named columns beside a unique ``key``; the table is written, so that the key stays what it is."""
     return stage(df.select(F.monotonically_increasing_id().alias(key), *columns), key)

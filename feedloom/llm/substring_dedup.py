@@ -6,18 +6,23 @@ corpus itself, so its automata have no size bound and are not broadcast: matchin
 1. *Anchors.* The smallest hash of the five-word grams of a window is its anchor; equal windows have equal anchors. Each
    task sends every anchor once per document to the anchor's bucket, and learns which are shared by two documents and
    the smallest document (owner) of each. Anchors of very many documents are marked hot, by tasks on their own already.
-2. *Segments.* Runs of windows whose anchors are shared and have one owner go to the owner's shard; windows of hot
-   anchors go to shards by their own content, so no shard holds them all. Equal segments are summed map-side.
+2. *Segments.* Runs of windows whose anchors are shared and have one owner go to the owner's shard, and equal ones are
+   summed map-side. Windows of hot anchors go to shards by their own content, so no shard holds them all: each slice of
+   a task sends its distinct ones once, with their smallest document, in one row per shard. So neither a window that
+   many documents have nor the number of windows of a hot run makes rows.
 3. *Automata.* A shard builds suffix automata over its segments, in blocks of bounded size, with the smallest document
    of each state. Streaming the segments through them gives matching statistics, capped at the window's length, and
    so the first document of each window.
 4. *Removal.* Segments return to their documents; windows with a smaller first document are removed. A window of a hot
-   anchor is removed unless its shard names the document as its first: one message for each distinct window, however
-   many documents have it.
+   anchor is removed unless its shard names the document as its first: the shard sends each first document the words of
+   its windows, once however many documents have them, and the document compares words.
 
-Defined results: a null text has no words; a row with a null id loses nothing and is no reference; rows that repeat an
-id are not copies of each other; documents shorter than a window keep all words; an empty table gives no rows. Extra
-columns are not read, or pass through where documents are rewritten.
+Words decide everywhere; hashes only say who meets. One 64-bit hash tells rows of the same id apart by their texts.
+
+Defined results: ids are integers, or strings that Spark casts to long; a null text has no words; a row with a null id
+loses nothing and is no reference; rows that repeat an id are not copies of each other; documents shorter than a window
+keep all words; an empty table gives no rows. Extra columns of any name are not read, or pass through where documents
+are rewritten.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Rows, hex_digest, map_batches, stage
+from feedloom.llm.common import Rows, free_names, hex_digest, map_batches, stage
 
 WINDOW, GRAM = 13, 5
 HOT_DOCS, HOT_IN_TASK = 512, 64
@@ -200,14 +205,15 @@ def _answer(table: pa.Table) -> pa.Table:
 
 
 COLD, HOT, HOT_STARTS = 0, 1, 2
-_SEGMENT = "kind int, doc long, version long, start int, route long, words binary"
+_SEGMENT = "kind int, doc long, version long, start int, route long, words binary, docs binary"
 
 
-def _segments(window: int):
-    """Runs of windows with shared anchors, single windows of hot ones, and where a document has the latter; the batch
-    has doc, version, text and the answers."""
+def _segments(window: int, routes: int):
+    """Runs of windows with shared anchors; for hot ones the distinct windows of the batch, packed by route, with their
+    smallest documents, and where each document has some. The batch has doc, version, text and the answers."""
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[list] = [[], [], [], [], [], []]
+        firsts: dict[bytes, int] = {}
         cols = [c.to_pylist() for c in batch.columns]
         for doc, version, text, answers in zip(*cols):
             gather = lambda name, kind: np.frombuffer(b"".join(x[name] for x in answers), kind)
@@ -222,30 +228,32 @@ def _segments(window: int):
             owners = gather("owners", np.int64)[order][at]
             heat = gather("hot", np.uint8)[order][at] > 0
             cut = np.flatnonzero(np.r_[True, (ok[1:] != ok[:-1]) | (owners[1:] != owners[:-1]) | heat[1:] | heat[:-1], True])
-            rows, seen = [], set()
-            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-                if ok[a]:
-                    part = b" ".join(words[a:b + window - 1])
-                    if not heat[a]:
-                        rows.append((COLD, a, int(owners[a]), part))
-                    elif part not in seen:
-                        seen.add(part)
-                        rows.append((HOT, a, window_key(part), part))
-            if seen:
-                rows.append((HOT_STARTS, -1, 0, np.flatnonzero(ok & heat).astype(np.int32).tobytes()))
+            rows = [(COLD, a, int(owners[a]), b" ".join(words[a:b + window - 1]))
+                    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()) if ok[a] and not heat[a]]
+            starts = np.flatnonzero(ok & heat)
+            for a in starts.tolist():
+                part = b" ".join(words[a:a + window])
+                if firsts.get(part, doc) >= doc:
+                    firsts[part] = doc
+            if len(starts):
+                rows.append((HOT_STARTS, -1, 0, starts.astype(np.int32).tobytes()))
             for kind, start, route, part in rows:
                 for column, value in zip(out, (kind, doc, version, start, route, part)):
                     column.append(value)
-        types = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-        return pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], names=[x.split()[0] for x in _SEGMENT.split(", ")])
+        packed: dict[int, list[bytes]] = {}
+        for part in firsts:
+            packed.setdefault(xxhash.xxh64_intdigest(part) % routes, []).append(part)
+        docs: list = [None] * len(out[0])
+        for route, parts in packed.items():
+            for column, value in zip(out, (HOT, None, None, None, route, b"\n".join(parts))):
+                column.append(value)
+            docs.append(np.array([firsts[p] for p in parts], np.int64).tobytes())
+        types = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+        return pa.record_batch([pa.array(c, t) for c, t in zip((*out, docs), types)], names=[x.split()[0] for x in _SEGMENT.split(", ")])
 
     return step
 
 
-def window_key(words: bytes) -> int:
-    return xxhash.xxh64_intdigest(words) - (1 << 63)
-
-
 def first_documents(segments: list[list], docs: list[int], window: int, block_words: int = SHARD_WORDS) -> list[list[int]]:
     """For each window of each segment the smallest document among those of equal windows, block by block."""
     best = [[1 << 62] * (len(s) - window + 1) for s in segments]
@@ -265,23 +273,19 @@ def first_documents(segments: list[list], docs: list[int], window: int, block_wo
     return best
 
 
-_FIRSTS = "kind int, route long, words binary, firsts array<long>"
+_FIRSTS = "route long, words binary, firsts array<long>"
 
 
 def _shards(window: int, block_words: int = SHARD_WORDS):
     """Streams the segments of a partition, sorted by route, through automata of whole routes."""
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        kept = []
         # Routes are apart by their words' windows, so several small ones may share an automaton.
         firsts = first_documents([r[1].split(b" ") for r in rows], [r[2] for r in rows], window, block_words)
-        for (route, words, _, last, kind), found in zip(rows, firsts):
-            if kind == HOT:  # its first document keeps it
-                kept.append((kind, route, None, found))
-            elif min(found) < last:  # some document has to lose something
-                kept.append((kind, route, words, found))
-        cols = list(zip(*kept)) or [(), (), (), ()]
-        types = (pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-        return pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], names=["kind", "route", "words", "firsts"])
+        # Where no document has to lose something, nothing is said.
+        kept = [(route, words, found) for (route, words, _, last), found in zip(rows, firsts) if min(found) < last]
+        cols = list(zip(*kept)) or [(), (), ()]
+        types = (pa.int64(), pa.binary(), pa.list_(pa.int64()))
+        return pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], names=["route", "words", "firsts"])
 
     def run(batches):
         rows: list[tuple] = []
@@ -299,40 +303,80 @@ def _shards(window: int, block_words: int = SHARD_WORDS):
     return run
 
 
-def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc, parts``: what documents lose, for ``_gone``; each part names the text (its hash) or is for all of the id."""
-    spark = docs.sparkSession
-    buckets = 4 * max(32, int(spark.conf.get("spark.sql.shuffle.partitions")))
+_KEPT = "doc long, kept binary"
+
+
+def _hot_shards(window: int, block_words: int = SHARD_WORDS):
+    """The packed windows of a partition, sorted by route: for each document the windows it is the first to have.
+
+    Equal windows are merged as they arrive, so a route holds its distinct ones; those go through automata in blocks,
+    each window through the block that holds it, since no window lies in another of the same length."""
+    def solve(firsts: dict[bytes, int]) -> pa.RecordBatch:
+        mine: dict[int, list[bytes]] = {}
+        parts, per = list(firsts), max(1, block_words // window)
+        for at in range(0, len(parts), per):
+            block = parts[at:at + per]
+            for part, (doc,) in zip(block, first_documents([p.split(b" ") for p in block], [firsts[p] for p in block], window, block_words)):
+                mine.setdefault(doc, []).append(part)
+        return pa.record_batch([pa.array(list(mine), pa.int64()), pa.array([b"\n".join(p) for p in mine.values()], pa.binary())], names=["doc", "kept"])
+
+    def run(batches):
+        route, firsts = None, {}
+        for batch in batches:
+            for at, words, docs in zip(*(c.to_pylist() for c in batch.columns)):
+                if at != route and firsts:
+                    yield solve(firsts)
+                    firsts = {}
+                route = at
+                for part, doc in zip(words.split(b"\n"), np.frombuffer(docs, np.int64).tolist()):
+                    if firsts.get(part, doc) >= doc:
+                        firsts[part] = doc
+        if firsts:
+            yield solve(firsts)
+
+    return run
+
+
+def segments_of(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What documents send to the shards, and where their hot windows are."""
+    routes = max(32, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    buckets = 4 * routes
     source = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     asked = map_batches(source, lambda: _ask(buckets, window), _ASK)
     answers = asked.groupBy("bucket").applyInArrow(_answer, _ANSWER)
     lists = answers.groupBy("doc").agg(F.collect_list(F.struct("anchors", "owners", "hot")).alias("answers"))
     met = source.join(lists, "doc").select("doc", F.xxhash64("text").alias("version"), "text", "answers")
-    segments = stage(map_batches(met, lambda: _segments(window), _SEGMENT), "segments")
-    distinct = segments.where(F.col("kind") != HOT_STARTS).groupBy("route", "words", "kind").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    dealt = distinct.select("route", "words", "first", "last", "kind").repartition("route").sortWithinPartitions("route")
+    return map_batches(met, lambda: _segments(window, routes), _SEGMENT)
+
+
+def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc, parts``: what documents lose, for ``_gone``; each part names the text (its hash) or is for all of the id."""
+    segments = stage(segments_of(docs, window, id_col, text_col), "segments")
+    kind = lambda k: segments.where(F.col("kind") == k)
+    distinct = kind(COLD).groupBy("route", "words").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    dealt = distinct.select("route", "words", "first", "last").repartition("route").sortWithinPartitions("route")
     firsts = stage(dealt.mapInArrow(_shards(window), _FIRSTS), "firsts")
-    no = {"version": "long", "start": "int", "gone": "array<boolean>", "hot": "binary", "kept": "long"}
+    kept = kind(HOT).select("route", "words", "docs").repartition("route").sortWithinPartitions("route").mapInArrow(_hot_shards(window), _KEPT)
+    no = {"version": "long", "start": "int", "gone": "array<boolean>", "hot": "binary", "kept": "binary"}
     part = lambda **has: F.struct(*(has.get(k, F.lit(None).cast(t)).alias(k) for k, t in no.items())).alias("part")
-    cold = segments.where(F.col("kind") == COLD).join(firsts.where(F.col("kind") == COLD).drop("kind"), ["route", "words"]).select(
+    cold = kind(COLD).join(firsts, ["route", "words"]).select(
         "doc", "version", "start", F.transform("firsts", lambda f: f < F.col("doc")).alias("gone")).where(F.exists("gone", lambda g: g))
-    hot = segments.where(F.col("kind") == HOT_STARTS)
-    kept = firsts.where(F.col("kind") == HOT)
     parts = cold.select("doc", part(version=F.col("version"), start=F.col("start"), gone=F.col("gone"))).unionByName(
-        hot.select("doc", part(version=F.col("version"), hot=F.col("words")))).unionByName(
-        kept.select(F.element_at("firsts", 1).alias("doc"), part(kept=F.col("route"))))
+        kind(HOT_STARTS).select("doc", part(version=F.col("version"), hot=F.col("words")))).unionByName(
+        kept.select("doc", part(kept=F.col("kept"))))
     return parts.groupBy("doc").agg(F.collect_set("part").alias("parts"))
 
 
 def _gone(words: list[bytes], version: int, parts: list[dict] | None, window: int) -> np.ndarray:
     """Which words are covered by a removed window."""
-    step, kept = np.zeros(len(words) + 1, np.int64), {p["kept"] for p in parts or ()}
+    step = np.zeros(len(words) + 1, np.int64)
+    kept = {w for p in parts or () if p["kept"] is not None for w in p["kept"].split(b"\n")}
     for p in parts or ():
         if p["version"] != version:
             continue
         if p["hot"] is not None:
             starts = np.frombuffer(p["hot"], np.int32).tolist()
-            at = np.array([i for i in starts if window_key(b" ".join(words[i:i + window])) not in kept], np.int64)
+            at = np.array([i for i in starts if b" ".join(words[i:i + window]) not in kept], np.int64)
         else:
             at = p["start"] + np.flatnonzero(p["gone"])
         np.add.at(step, at, 1)
@@ -340,10 +384,11 @@ def _gone(words: list[bytes], version: int, parts: list[dict] | None, window: in
     return np.cumsum(step[:-1]) > 0
 
 
-def _with_parts(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with ``dedup_parts`` and ``dedup_version``."""
-    parts = removals(docs, window, id_col, text_col).select(F.col("doc").alias("dedup_doc"), F.col("parts").alias("dedup_parts"))
-    return docs.join(parts, docs[id_col].cast("long") == F.col("dedup_doc"), "left").drop("dedup_doc").withColumn("dedup_version", F.xxhash64(text_col))
+def _with_parts(docs: DataFrame, window: int, id_col: str, text_col: str) -> tuple[DataFrame, str, str]:
+    """``docs`` with what they lose and with the hash of the text, and the names of these two columns."""
+    doc, lost, version = free_names(docs, "dedup_doc", "dedup_parts", "dedup_version")
+    parts = removals(docs, window, id_col, text_col).select(F.col("doc").alias(doc), F.col("parts").alias(lost))
+    return docs.join(parts, docs[id_col].cast("long") == F.col(doc), "left").drop(doc).withColumn(version, F.xxhash64(text_col)), lost, version
 
 
 def dedup_digest(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -364,17 +409,18 @@ def dedup_digest(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
 
     rows = docs.select(id_col, text_col)
     schema = f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string"
-    return map_batches(_with_parts(rows, window, id_col, text_col).select(id_col, text_col, "dedup_parts", "dedup_version"), make, schema)
+    joined, lost, hashed = _with_parts(rows, window, id_col, text_col)
+    return map_batches(joined.select(id_col, text_col, lost, hashed), make, schema)
 
 
 def dedup_texts(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the repeated words; a text that loses none stays as it is, others are kept words and spaces."""
-    joined = _with_parts(docs, window, id_col, text_col)
+    joined, lost, hashed = _with_parts(docs, window, id_col, text_col)
 
     def make() -> Rows:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             at, new = batch.schema.get_field_index(text_col), []
-            for text, parts, version in zip(*(batch.column(c).to_pylist() for c in (text_col, "dedup_parts", "dedup_version"))):
+            for text, parts, version in zip(*(batch.column(c).to_pylist() for c in (text_col, lost, hashed))):
                 words = words_of(text)
                 gone = _gone(words, version, parts, window)
                 new.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g).decode() if gone.any() else text)
@@ -384,6 +430,6 @@ def dedup_texts(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
 
     out = map_batches(joined, make, joined.schema)
     if "n_chars" in docs.columns:
-        changed = F.xxhash64(text_col) != F.col("dedup_version")
+        changed = F.xxhash64(text_col) != F.col(hashed)
         out = out.withColumn("n_chars", F.when(changed, F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

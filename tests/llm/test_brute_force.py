@@ -97,6 +97,30 @@ def test_substring_dedup(spark, monkeypatch, hot):
     assert got == dedup_by_hand(rows)
 
 
+def test_a_hot_passage_makes_no_rows_of_its_windows(spark):
+    """One passage of 40 words in 400 and in 1,200 documents: rows follow the documents, not the passage's windows."""
+    made = {}
+    for n in (400, 1200):
+        shared = " ".join(f"s{k}" for k in range(40))
+        rows = [(d, " ".join(f"a{d}x{k}" for k in range(15)) + f" {shared} " + " ".join(f"b{d}x{k}" for k in range(15))) for d in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.dedup_digest(docs).collect()}
+        assert got == dedup_by_hand(rows)
+        made[n] = {r.kind: r["count"] for r in substring_dedup.segments_of(docs).groupBy("kind").count().collect()}
+    per_batch = 4 * 32  # rows of packed windows: one for each batch and route
+    assert sum(made[400].values()) <= 8 * 400 + per_batch and sum(made[1200].values()) <= 8 * 1200 + per_batch
+    assert made[1200][substring_dedup.HOT] <= per_batch
+
+
+def test_extra_columns_with_the_names_of_helpers_keep_their_values(spark):
+    shared = " ".join(f"s{k}" for k in range(20))
+    rows = [(d, f"x{d} {shared}", 7 + d, "p", "q") for d in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, dedup_version long, Dedup_Parts string, dedup_doc string")
+    out = {r.doc_id: tuple(r) for r in substring_dedup.dedup_texts(docs).collect()}
+    assert out == {d: (d, t if d == 0 else f"x{d}", v, p, q) for d, t, v, p, q in rows}
+    assert substring_dedup.dedup_texts(docs).columns == docs.columns
+
+
 def test_automata_in_blocks_agree_with_one():
     rnd = random.Random(3)
     segments = [[rnd.choice("ab") for _ in range(rnd.randint(4, 20))] for _ in range(40)]
