@@ -1,8 +1,10 @@
 """Operators beside plain Python versions of what they promise."""
 
 import hashlib
+import math
 import random
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -245,6 +247,22 @@ def test_decontamination_in_one_block_and_in_many(spark, docs, texts, limit):
         assert hit or cut[doc] == text
 
 
+@pytest.mark.parametrize("chunk", [1 << 16, 2])
+@pytest.mark.parametrize("kind, large", [("float", 3.0e6), ("double", 3.0e6), ("float", 1e12), ("float", 3e38), ("double", 1e100)])
+def test_top_k_of_large_components(spark, chunk, kind, large):
+    rows = [(20, [large, 1.0, -0.5]), (1, [large, 1 / 64, 0.0]), (2, [large, 3 / 64, 0.0]), (3, [large, 2 / 64, 0.0]), (4, [-large, 0.25, 0.0]),
+            (40, [1.0, 2.0, 3.0]), (5, [0.5, 0.5, 0.5]), (6, [-large, 0.25, 0.0])]
+    got = topk.top_k(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>"), k=4, chunk=chunk).collect()
+    as_given = np.float32 if kind == "float" else np.float64
+    v = {i: [math.floor(64 * Fraction(float(as_given(c)))) for c in x] for i, x in rows}
+    clip = lambda n: max(-(1 << 63), min((1 << 63) - 1, n))
+    want = set()
+    for i in (20, 40):
+        best = sorted((-sum(a * b for a, b in zip(v[i], v[j])), j) for j in v if j != i)[:4]
+        want |= {(i, r + 1, j, clip(-n)) for r, (n, j) in enumerate(best)}
+    assert {tuple(r) for r in got} == want and len(got) == 8
+
+
 @pytest.mark.parametrize("chunk", [1 << 16, 40])
 def test_top_k(spark, chunk):
     rnd = np.random.default_rng(1)
