@@ -1,6 +1,8 @@
 """Golden vectors of the scalar functions."""
 
 import hashlib
+import itertools
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +66,15 @@ CASES = [
         ("2025-08-19", "2025-08-19"), ("2025-08", "2025-08-01"), ("Tue, 19 Aug 2025 10:00:00 GMT", "2025-08-19"),
         ("9 August 2025", "2025-08-09"), ("2025-08-19T10:00:00+08:00", "2025-08-19"), ("nonsense", None), ("2025-13-40", None), (None, None),
     ]),
+    (lambda: dates.flexible_date("a").cast("string"), [
+        ("2025", "2025-01-01"), ("August 2025", "2025-08-01"), ("2025 Aug", "2025-08-01"), ("Aug 19, 2025", "2025-08-19"),
+        ("August 19th, 2025", "2025-08-19"), ("1st of August 2025", "2025-08-01"), ("19-Aug-2025", "2025-08-19"), ("2025 Aug 9", "2025-08-09"),
+        ("08/19/2025", "2025-08-19"), ("19/08/2025", "2025-08-19"), ("03/04/2025", "2025-03-04"), ("19.08.2025", "2025-08-19"),
+        ("2025/8/9", "2025-08-09"), ("20250819", "2025-08-19"), ("20250819T101500", "2025-08-19"), ("08/19/25", "2025-08-19"),
+        ("Tue Aug 19 10:00:00 2025", "2025-08-19"), ("Tuesday, August 19, 2025 at 10:00 PM EST", "2025-08-19"), ("9 Sept 99", "1999-09-09"),
+        ("2025-02-30", None), ("Aug 19", None), ("19", None), ("10:00", None), ("2025-08-19 junk", None), ("8 9 10 2025", None), ("", None),
+        ("Winter 2025", None), ("2025–08–19", None), ("1234567890123456789012", None), ("Aug Sep 2025", None),
+    ]),
     (lambda: topics.primary_topic(F.lower("a")), [
         ("additive manufacturing", "其他"), ("3d print", "3D打印和增材制造"), ("protein ai", "生命科学"), ("proteins", "其他"),
         ("machine\nlearning", "人工智能"), ("AI技术", "其他"), ("the AI.", "人工智能"), ("_ai_", "其他"), ("", "其他"),
@@ -82,6 +93,30 @@ def test_golden(spark, number):
     assert apply(spark, expr(), *((i,) for i, _ in cases)) == [o for _, o in cases]
 
 
+def test_dates_agree_with_the_usual_parser(spark):
+    """Every order, separator and form of year, month and day that names a year, with and without a time."""
+    parser = pytest.importorskip("dateutil.parser")
+    texts = set()
+    for y, m, d in ((2025, 8, 19), (2024, 2, 29), (2023, 12, 1), (2031, 5, 6), (1999, 11, 30), (2025, 2, 30), (2025, 13, 1)):
+        names = [f"{m}", f"{m:02d}", *((f"{dates.MONTHS[m - 1][:3]}", f"{dates.MONTHS[m - 1].title()}") if m < 13 else ())]
+        for month in names:
+            for sep in ("-", "/", " ", ".", ", "):
+                for year in (f"{y}", f"{y % 100:02d}"):
+                    for order in itertools.permutations((year, month, f"{d:02d}")):
+                        texts.add(sep.join(order))
+                texts |= {sep.join((f"{y}", month)), sep.join((month, f"{y}"))} if sep != "." else set()
+        texts |= {f"{y}{m:02d}{d:02d}", f"{y}-{m:02d}-{d:02d}T01:02:03Z", f"{y}-{m:02d}-{d:02d} 01:02:03.5+08:00", f"{y}"}
+    texts = sorted(texts)
+    want = []
+    for t in texts:
+        try:
+            want.append(parser.parse(t, default=datetime(2025, 1, 1)).date().isoformat())
+        except (ValueError, OverflowError):
+            want.append(None)
+    got = apply(spark, dates.flexible_date("a").cast("string"), *((t,) for t in texts))
+    assert [x for x in zip(texts, got, want) if x[1] != x[2]] == []
+
+
 def test_multi_topics(spark):
     out = apply(spark, topics.topic_array(topics.tagging_text("a", F.lit(None).cast("string"))), ("关于人工智能",), (None,))
     assert out == [["其他", "人工智能"], ["其他"]]
