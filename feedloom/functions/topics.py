@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -106,4 +108,8 @@ def has_topic(tag: Column | str, topics: Sequence[str] | None, compat: bool = Fa
         return F.lit(True)
     if compat:
         return as_col(tag).isin(*topics)
-    return F.arrays_overlap(decode_tags(tag), F.array(*map(F.lit, topics)))
+    tag = as_col(tag)
+    # Only texts that hold a topic's characters, or an escape that may stand for them, can decode to it. Parquet applies
+    # this to its dictionaries, and the other rows are never parsed.
+    held = reduce(or_, (F.contains(tag, F.lit(t)) for t in topics), F.contains(tag, F.lit("\\")))
+    return held & F.arrays_overlap(decode_tags(tag), F.array(*map(F.lit, topics)))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom import schemas
+from feedloom.functions.topics import decode_tags, has_topic
 from feedloom.operators import pages
 from feedloom.operators.ranking import rank_within
 from feedloom.plans import jobs
@@ -62,3 +63,17 @@ def test_failed_jobs_leave_a_row(spark, tmp_path):
     assert log() == [("b1", "backfill", "error")]
     jobs.run_backfill(spark, store, no_pages, at, "b1")
     assert log() == [("b1", "backfill", "ok")]
+
+
+def test_topic_filters_reach_the_scan(spark, tmp_path):
+    tags = ["人工智能", '["人工智能", "生命科学"]', '["\\u4eba\\u5de5\\u667a\\u80fd"]', '["其他"]', '["人工智能x"]', '["人工智能"', "", None, "x人工智能"]
+    path = f"file://{tmp_path}/articles"
+    spark.createDataFrame([(k, t) for k, t in enumerate(tags)], "k int, topic_tag string").write.parquet(path)
+    rows = spark.read.parquet(path)
+    for topics in (["人工智能"], ["其他", "生命科学"], ["x"], ['["人工智能"']):
+        kept = rows.filter(has_topic("topic_tag", topics))
+        parsed = rows.filter(F.arrays_overlap(decode_tags("topic_tag"), F.array(*map(F.lit, topics))))
+        assert sorted(r.k for r in kept.collect()) == sorted(r.k for r in parsed.collect())
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert f"StringContains(topic_tag,{topics[0]})" in plan.split("PushedFilters:")[1]
+    assert sorted(r.k for r in rows.filter(has_topic("topic_tag", ["人工智能"])).collect()) == [0, 1, 2]
