@@ -2,8 +2,8 @@
 
 Words are runs of ASCII letters, digits and characters beyond ASCII, with A-Z in lower case. A window is ``n``
 consecutive words of a benchmark item, or all words of a shorter one. The windows are broadcast as a set, in blocks of
-at most ``BLOCK_WINDOWS``; a larger benchmark takes one pass over the documents for each block, so the broadcast has
-its bound at any size. In a document, rolling hashes of its words find candidate windows, and comparing the words
+at most ``BLOCK_WINDOWS``; a larger benchmark takes one pass over the documents for each block, one after the other, so
+the driver and the broadcast hold one block at any size. In a document, rolling hashes of its words find candidate windows, and comparing the words
 verifies them.
 
 Defined results: a null text has no words; an item without words has no window; a null item_id hits but is not listed;
@@ -19,10 +19,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Rows, map_batches, rewrite_text, row_keys, stage
+from feedloom.llm.common import Rows, free_names, map_batches, rewrite_text, row_keys, stage
 
 N = 10
 BLOCK_WINDOWS = 1 << 20
@@ -116,35 +117,45 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def blocks_of(windows: DataFrame, limit: int = BLOCK_WINDOWS):
-    """The windows in blocks of bounded size, one after the other."""
-    total = windows.count()
-    parts = max(1, -(-total // max(1, limit // 2)))
-    for k in range(parts):
-        part = windows.where(F.pmod(F.xxhash64("words"), F.lit(parts)) == k) if parts > 1 else windows
-        yield Block([(r.length, r.words, tuple(r["items"])) for r in part.collect()])
+def parts_of(windows: DataFrame, limit: int = BLOCK_WINDOWS) -> int:
+    """How many blocks of bounded size the windows make."""
+    return max(1, -(-windows.count() // max(1, limit // 2)))
+
+
+def block_of(windows: DataFrame, k: int, parts: int) -> Broadcast:
+    """Block ``k`` on all executors; the driver holds one block at a time."""
+    part = windows.where(F.pmod(F.xxhash64("words"), F.lit(parts)) == k) if parts > 1 else windows
+    return windows.sparkSession.sparkContext.broadcast(Block([(r.length, r.words, tuple(r["items"])) for r in part.collect()]))
 
 
 def scan_documents(docs: DataFrame, bench: DataFrame, n: int = N, id_col: str = "doc_id", text_col: str = "text",
                    limit: int = BLOCK_WINDOWS) -> DataFrame:
     """``id_col, n_words, spans, items``: merged hit spans in words, and the sorted ids of the items that occur."""
-    sc = docs.sparkSession.sparkContext
-    blocks = [*map(sc.broadcast, blocks_of(stage(benchmark_windows(bench, n), "bench"), limit))]
-    one = len(blocks) == 1
-    rows = docs.select(id_col, text_col) if one else row_keys(docs, "scan_key", id_col, text_col)
+    return _scanned(docs, stage(benchmark_windows(bench, n), "bench"), id_col, text_col, limit)
+
+
+def _scanned(docs: DataFrame, windows: DataFrame, id_col: str, text_col: str, limit: int) -> DataFrame:
+    parts = parts_of(windows, limit)
+    key, = free_names(docs, "scan_key")
+    rows = docs.select(id_col, text_col) if parts == 1 else row_keys(docs, key, id_col, text_col)
     key_type = rows.schema[id_col].dataType.simpleString()
-    lead = f"`{id_col}` {key_type}" if one else f"scan_key long, `{id_col}` {key_type}"
+    lead = f"`{id_col}` {key_type}" if parts == 1 else f"{key} long, `{id_col}` {key_type}"
     schema = f"{lead}, n_words long, spans array<struct<start:int,end:int>>, items array<string>"
-    passes = [map_batches(rows, _scan(block), schema) for block in blocks]
-    if one:
-        return passes[0]
-    total = stage(passes[0], "hits")
-    for more in passes[1:]:  # a benchmark beyond one block: its results meet by the row's key
-        right = more.select("scan_key", F.col("spans").alias("more_spans"), F.col("items").alias("more_items"))
-        total = stage(total.join(right, "scan_key").select(
-            "scan_key", id_col, "n_words", F.concat("spans", "more_spans").alias("spans"),
+    if parts == 1:
+        return map_batches(rows, _scan(block_of(windows, 0, 1)), schema)
+    total = None
+    for k in range(parts):  # a benchmark beyond one block: its results meet by the row's key
+        block = block_of(windows, k, parts)
+        found = stage(map_batches(rows, _scan(block), schema), "hits")
+        block.destroy()  # what was found is written, so nothing reads the block again
+        if total is None:
+            total = found
+            continue
+        right = found.select(key, F.col("spans").alias("more_spans"), F.col("items").alias("more_items"))
+        total = stage(total.join(right, key).select(
+            key, id_col, "n_words", F.concat("spans", "more_spans").alias("spans"),
             F.array_sort(F.array_union("items", "more_items")).alias("items")), "hits")
-    return map_batches(total.drop("scan_key"), lambda: _merge_spans, schema.split(", ", 1)[1])
+    return map_batches(total.drop(key), lambda: _merge_spans, schema.split(", ", 1)[1])
 
 
 def _scan(block):
@@ -198,9 +209,10 @@ def remove_spans(docs: DataFrame, bench: DataFrame, n: int = N, text: str = "tex
 
     With one block of windows this is one pass; with more, spans are gathered by a key of the rows first.
     """
-    blocks = list(blocks_of(stage(benchmark_windows(bench, n), "bench"), limit))
-    if len(blocks) == 1:
-        block = docs.sparkSession.sparkContext.broadcast(blocks[0])
+    windows = stage(benchmark_windows(bench, n), "bench")
+    parts = parts_of(windows, limit)
+    if parts == 1:
+        block = block_of(windows, 0, 1)
 
         def make():
             scanner = Scanner(block.value)
@@ -212,19 +224,20 @@ def remove_spans(docs: DataFrame, bench: DataFrame, n: int = N, text: str = "tex
             return change
 
         return rewrite_text(docs, make, text)
-    keyed = row_keys(docs, "cut_key", *docs.columns)
-    spans = scan_documents(keyed.select("cut_key", text), bench, n, "cut_key", text, limit).select("cut_key", F.col("spans").alias("cut_spans"))
-    joined = keyed.join(spans, "cut_key").drop("cut_key")
+    key, found = free_names(docs, "cut_key", "cut_spans")
+    keyed = row_keys(docs, key, *docs.columns)
+    spans = _scanned(keyed.select(key, text), windows, key, text, limit).select(key, F.col("spans").alias(found))
+    joined = keyed.join(spans, key).drop(key)
     schema = joined.schema
 
     def make_cut() -> Rows:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             at = batch.schema.get_field_index(text)
             new = [cut(t, [(x["start"], x["end"]) for x in s]) if s else t
-                   for t, s in zip(batch.column(at).to_pylist(), batch.column("cut_spans").to_pylist())]
+                   for t, s in zip(batch.column(at).to_pylist(), batch.column(found).to_pylist())]
             return batch.set_column(at, text, pa.array(new, batch.column(at).type))
 
         return step
 
-    done = map_batches(joined, make_cut, schema).drop("cut_spans")
+    done = map_batches(joined, make_cut, schema).drop(found)
     return done.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else done

@@ -247,6 +247,17 @@ def test_decontamination_in_one_block_and_in_many(spark, docs, texts, limit):
         assert hit or cut[doc] == text
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 2])
+def test_decontamination_keeps_columns_with_the_names_of_helpers(spark, limit):
+    bench = spark.createDataFrame([(k, " ".join(f"b{k}x{i}" for i in range(12))) for k in range(4)], "item_id long, text string")
+    rows = [(k, f"start b{k}x0 " + " ".join(f"b{k}x{i}" for i in range(12)) + " end", 7 + k, "s", "more") for k in range(4)] + [(9, None, 1, "s", "more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, cut_key long, Cut_Spans string, scan_key string")
+    out = decontaminate.remove_spans(docs, bench, limit=limit)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect())) == [(k, "start b%dx0 end" % k if t else None, v, a, b) for k, t, v, a, b in rows]
+    assert {r.doc_id: list(r["items"]) for r in decontaminate.scan_documents(docs, bench, limit=limit).collect()} == {**{k: [str(k)] for k in range(4)}, 9: []}
+
+
 @pytest.mark.parametrize("chunk", [1 << 16, 2])
 @pytest.mark.parametrize("kind, large", [("float", 3.0e6), ("double", 3.0e6), ("float", 1e12), ("float", 3e38), ("double", 1e100)])
 def test_top_k_of_large_components(spark, chunk, kind, large):
