@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from feedloom import schemas
 from feedloom.operators.skew import salted_join
+from feedloom.plans import backfill
 
 
 @pytest.fixture
@@ -30,3 +32,25 @@ def test_null_keys_spread_over_all_tasks(shuffled, heavy):
     assert len(tasks) == 16 and max(r["count"] for r in tasks) < 400
     kept = {how: salted_join(left, right, "key", how, "uid", heavy).count() for how in ("inner", "left_semi", "left_anti")}
     assert kept == {"inner": 667, "left_semi": 667, "left_anti": 3_333}
+
+
+def test_staged_plans_hold_a_text_once(spark, tmp_path, monkeypatch):
+    """What is written down of a backfill has no second copy of an abstract; the texts to translate come out all the same."""
+    written = []
+    real = backfill.stage
+    monkeypatch.setattr(backfill, "stage", lambda df, label: written.append(df.columns) or real(df, label))
+    rows = [("a", " t ", "", "x" * 50, None), ("b", "  ", None, None, "new " + "y" * 90), ("c", "t", "C", "z" * 50, None), ("d", "t", None, " ", None)]
+    articles = spark.createDataFrame([(u, f"u{u}", t, c, a) for u, t, c, a, _ in rows], "uid string, article_url string, title_en string, title_cn string, abstract_en string")
+    candidates = schemas.conform(articles, schemas.ARTICLES).select(*backfill._CANDIDATE_COLUMNS)
+    probes = spark.createDataFrame(
+        [(u, None, None, None, new, "text/html", None) for u, *_, new in rows],
+        "uid string, type string, journal string, date_published string, abstract_en string, content_type string, error string",
+    )
+    for force in (False, True):
+        sources = backfill.prepare_backfill(candidates, probes, doi_mode=force)
+        answers = backfill.translation_work(sources).select("src_hash", F.concat(F.lit("zh "), "text").alias("text"))
+        plan = {r.uid: r for r in backfill.plan_backfill(sources, answers, doi_mode=force).collect()}
+        assert {u: r.title_src for u, r in plan.items()} == {"a": "t", "b": None, "c": "t" if force else None, "d": "t"}
+        assert {u: r.abstract_src for u, r in plan.items()} == {"a": "x" * 50, "b": "new " + "y" * 90, "c": "z" * 50, "d": None}
+        assert all(r.new_abstract_cn == (r.abstract_src and "zh " + r.abstract_src) and r.new_title_cn == (r.title_src and "zh " + r.title_src) for r in plan.values())
+    assert len(written) == 4 and not any({"title_src", "abstract_src"} & set(columns) for columns in written)
