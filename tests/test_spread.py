@@ -1,9 +1,14 @@
 """Rows of joins and batches that must not gather in one task or one Python worker."""
 
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from feedloom import schemas
+from feedloom.functions import markup
+from feedloom.operators import feeds
 from feedloom.operators.skew import salted_join
 from feedloom.plans import backfill
 
@@ -54,3 +59,28 @@ def test_staged_plans_hold_a_text_once(spark, tmp_path, monkeypatch):
         assert {u: r.abstract_src for u, r in plan.items()} == {"a": "x" * 50, "b": "new " + "y" * 90, "c": "z" * 50, "d": None}
         assert all(r.new_abstract_cn == (r.abstract_src and "zh " + r.abstract_src) and r.new_title_cn == (r.title_src and "zh " + r.title_src) for r in plan.values())
     assert len(written) == 4 and not any({"title_src", "abstract_src"} & set(columns) for columns in written)
+
+
+def test_pages_become_python_objects_a_few_at_a_time():
+    """What a worker holds of a batch does not grow with the batch."""
+    def peak(pages: int) -> float:
+        page = '<html><body><div class="article__teaser"><p>lead</p></div>' + "x" * 20_000 + "</body></html>"
+        column = pa.array([page, None] * pages)
+        tracemalloc.start()
+        parts = markup.publisher_parts_udf.func(column)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert parts.to_pylist()[:2] == [dict.fromkeys(markup._PART_NAMES) | {"teaser": "lead"}, dict.fromkeys(markup._PART_NAMES)]
+        return most
+
+    peak(10)
+    assert peak(800) < 1.5 * peak(100) + 100_000
+
+
+def test_rows_of_feeds_leave_a_worker_in_small_batches(spark):
+    item = "<item><title>t</title><description>" + "x" * 1_000 + "</description></item>"
+    payload = '<rss version="2.0"><channel>' + item * 1_000 + "</channel></rss>"
+    read = spark.createDataFrame([("f", 0, 200, payload)], "feed_url string, feed_ord int, status int, content string").repartition(1)
+    sizes = feeds.read_feeds(read).select("pos", "title").mapInArrow(lambda bs: (b for b in bs), "pos int, title string")
+    assert sizes.count() == 1_001 and sizes.filter("title = 't'").count() == 1_000
+    assert feeds._ROWS_PER_BATCH * len(item) < 1 << 20
