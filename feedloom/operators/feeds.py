@@ -28,7 +28,7 @@ _READ = T.StructType([
     *_POLL, T.StructField("dialect", T.StringType()), T.StructField("error", T.StringType()), T.StructField("pos", T.IntegerType()),
     *(T.StructField(c, T.StringType()) for c in RAW),
 ])
-_ROWS_PER_BATCH = 2_000
+_ROWS_PER_BATCH = 200  # whole descriptions are in them
 
 
 def read_feeds(payloads: DataFrame) -> DataFrame:
