@@ -46,30 +46,44 @@ def load_pieces(path: str) -> Pieces:
 
 
 class State(dict):
-    """Maps the next character to (state, last piece, change of the count). ``depths`` are the distances back to the
-    alive positions, the current one (0) included."""
+    """Maps the next character to (state, last piece, change of the count). ``key`` is what the state remembers, in one
+    flat tuple: the characters back to the first alive position, then three values for each of those: the distance back
+    to it, the last piece there, and its count relative to the current one."""
 
-    __slots__ = ("suffix", "alive", "depths", "settled")
+    __slots__ = ("key",)
+
+    @property
+    def depths(self) -> tuple[int, ...]:
+        """The distances back to the alive positions, the current one (0) included."""
+        return self.key[1::3]
+
+
+_FRESH = ("", 0, "", 0)
 
 
 class Lattice:
-    """``limit`` bounds the states kept; when it is reached they are built anew as needed, with the same results."""
+    """``limit`` bounds the states kept, ``joined_limit`` the pairs of pieces; when it is reached they are built anew as
+    needed, with the same results."""
 
-    def __init__(self, pieces: Pieces, limit: int = 150_000) -> None:
-        self.pieces, self.limit = pieces, limit
+    def __init__(self, pieces: Pieces, limit: int = 150_000, joined_limit: int = 300_000) -> None:
+        self.pieces, self.limit, self.joined_limit = pieces, limit, joined_limit
         self.scores = pieces.scores
-        self.joined: dict[tuple[str, str], bool] = {}
-        self.own: dict[str, list[str]] = {}
-        self.usable = {p for p in pieces.ids if len(p) == 1 or self.merge(p) == [p]}
+        self.joined: dict[str, bool] = {}
+        self.usable = {p: p for p in pieces.ids if len(p) == 1 or self.merge(p) == [p]}
         self.prefixes = {p[:i] for p in self.usable for i in range(1, len(p))}
         self.longest = max(map(len, self.usable), default=1)
         pairs = {p[i:i + 2] for p in self.usable for i in range(len(p) - 1)}
         self.pairs = pairs
+        self.states: dict[tuple, State] = {}
         self.reset()
 
     def reset(self) -> None:
-        self.states: dict[tuple, State] = {}
-        self.start = self.state("", ((0, "", 0),))
+        """Forget all states. They lead to each other in circles, which are cut, so that their memory is free at once;
+        one still in use lives on, and its successors are built anew."""
+        for state in self.states.values():
+            state.clear()
+        self.states = {}
+        self.start = self.state(_FRESH)
 
     def merge(self, text: str) -> list[str]:
         """Byte-pair merging as defined: the best-scored neighbouring pair first, the leftmost among equals."""
@@ -88,22 +102,19 @@ class Lattice:
     def compatible(self, left: str, right: str) -> bool:
         if not left or left[-1] + right[0] not in self.pairs:
             return True
-        key = (left, right)
+        key = chr(len(left)) + left + right
         known = self.joined.get(key)
         if known is None:
-            if len(self.joined) > 1_000_000:
+            if len(self.joined) >= self.joined_limit:
                 self.joined.clear()
             known = self.joined[key] = self.merge(left + right) == [left, right]
         return known
 
-    def state(self, suffix: str, alive: tuple) -> State:
-        key = (suffix, alive)
+    def state(self, key: tuple) -> State:
         found = self.states.get(key)
         if found is None:
-            found = State()
-            found.suffix, found.alive, found.depths = suffix, alive, [a[0] for a in alive]
-            found.settled = len(alive) == 1
-            self.states[key] = found
+            found = self.states[key] = State()
+            found.key = key
         return found
 
     def cost(self, piece: str) -> int:
@@ -112,24 +123,29 @@ class Lattice:
     def step(self, state: State, char: str) -> tuple[State, str, int]:
         """The transition for a character that ``state`` has not met yet."""
         if len(self.states) >= self.limit:
-            self.states.clear()  # states in use live on; their successors are built anew
-            self.start = self.state("", ((0, "", 0),))
-        suffix, alive = state.suffix, state.alive
-        if suffix and suffix[-1] + char not in self.pairs:
-            suffix, alive = "", ((0, "", 0),)  # nothing spans this boundary
-        text = suffix + char
-        for depth, last, count in alive:  # the longest first
-            piece = text[len(text) - 1 - depth:]
-            if (depth == 0 or piece in self.usable) and self.compatible(last, piece):
-                change = count + self.cost(piece)
+            self.reset()
+        key = state.key
+        if key[0] and key[0][-1] + char not in self.pairs:
+            key = _FRESH  # nothing spans this boundary
+        text = key[0] + char
+        end = len(text) - 1
+        alive = range(1, len(key), 3)
+        for i in alive:  # the longest first
+            piece = text[end - key[i]:]
+            if (key[i] == 0 or piece in self.usable) and self.compatible(key[i + 1], piece):
+                piece = self.usable.get(piece, piece)  # one string for all states
+                change = key[i + 2] + self.cost(piece)
                 break
         else:  # pragma: no cover - merging always has a last piece
             raise AssertionError(text)
-        kept = [(depth + 1, last, count - change) for depth, last, count in alive if text[len(text) - 1 - depth:] in self.prefixes]
-        kept.append((0, piece, 0))
-        longest = kept[0][0]
-        following = self.state(text[len(text) - longest:] if longest else char, tuple(kept)) if longest else self.state(char, tuple(kept))
-        result = state[char] = (following, piece, change)
+        kept: list = [char]
+        for i in alive:
+            if text[end - key[i]:] in self.prefixes:
+                kept += (key[i] + 1, key[i + 1], key[i + 2] - change)
+        kept += (0, piece, 0)
+        if kept[1]:
+            kept[0] = text[end + 1 - kept[1]:]
+        result = state[char] = (self.state(tuple(kept)), piece, change)
         return result
 
     def surface(self, text: str) -> str:

@@ -14,6 +14,7 @@ text back, except that the mark U+2581 in a text reads as a space, as the librar
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable
 from functools import lru_cache
 from itertools import chain
@@ -30,6 +31,7 @@ from feedloom.llm.word_batches import WordLists
 MEMO_WORDS = 700_000
 TABLE_IDS = 2_000_000
 _CHECK_EVERY = 32
+_TAKEN = 4_096
 
 
 class Encoder:
@@ -140,13 +142,15 @@ class Codec:
 
     def encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words, each streamed through the lattice; every one is decoded again, as a proof."""
-        found = []
-        for word in words.to_pylist():
-            found.append(self.stream(word.replace(" ", SPACE)))
-            if b"".join(map(self.shown.__getitem__, found[-1])).decode() != word.replace(SPACE, " "):
-                raise ValueError("ids that do not decode to their word")
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())), counts
+        flat, counts = array("i"), np.zeros(len(words), np.int64)
+        for at in range(0, len(words), _TAKEN):  # few words at a time as objects
+            for k, word in enumerate(words.slice(at, _TAKEN).to_pylist(), at):
+                ids = self.stream(word.replace(" ", SPACE))
+                if b"".join(map(self.shown.__getitem__, ids)).decode() != word.replace(SPACE, " "):
+                    raise ValueError("ids that do not decode to their word")
+                flat.extend(ids)
+                counts[k] = len(ids)
+        return np.frombuffer(flat, np.int32), counts
 
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         """The ids of all texts in a row, how many each has, and whether they decode to the very text."""

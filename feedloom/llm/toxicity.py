@@ -19,6 +19,7 @@ rows. Extra columns are not read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from typing import NamedTuple
 
@@ -32,6 +33,7 @@ from feedloom.llm.common import Rows, map_batches
 
 TOXIC_ROWS, CLEAN_ROWS, CHAIN_WORDS = 1_500, 3_000, 300_000
 FOLDS = 5
+MEMO_WORDS = 200_000
 _EDGE = ".,;:!?\"'()[]{}<>*_-`"
 _SHOWN = 0.5
 
@@ -185,12 +187,21 @@ def fit_lift(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class Scorer:
-    def __init__(self, model: Model, memo_words: int = 600_000) -> None:
+    def __init__(self, model: Model, memo_words: int = MEMO_WORDS) -> None:
         self.model, self.limit, self.memo = model, memo_words, {}
+        kinds: dict[str, dict[str, float]] = {}
+        for feature, weight in model.weights.items():
+            kind, _, text = feature.partition(":")
+            kinds.setdefault(kind, {})[text] = weight
+        self.whole = kinds.get("w", {}).get
+        self.parts = [(k, slice(0, k), kinds[f"p{k}"].get) for k in (3, 4, 5, 6) if f"p{k}" in kinds]
+        self.parts += [(k, slice(-k, None), kinds[f"s{k}"].get) for k in (3, 4) if f"s{k}" in kinds]
 
     def word(self, w: str) -> float:
-        get = self.model.weights.get
-        s = self.model.bias + sum(get(f, 0.0) for f in word_features(w))
+        """The score of a word: the weights of ``word_features``, looked up by kind."""
+        text = w.strip(_EDGE).lower()
+        n = len(text)
+        s = self.model.bias + sum([self.whole(text, 0.0), *[get(text[part], 0.0) for k, part, get in self.parts if n > k]])
         if len(self.memo) >= self.limit:
             self.memo.clear()
         if len(w) <= 64:
@@ -198,10 +209,13 @@ class Scorer:
         return s
 
     def marginals(self, texts: list[str | None]) -> list[np.ndarray]:
-        words = [t.split() if t else [] for t in texts]
-        get = self.memo.get
-        scores = np.fromiter((s if (s := get(w)) is not None else self.word(w) for ws in words for w in ws), float, sum(map(len, words)))
-        lengths = np.array([len(ws) for ws in words])
+        get, values = self.memo.get, array("d")
+        lengths = np.zeros(len(texts), np.int64)
+        for k, text in enumerate(texts):  # the words of one text at a time
+            words = text.split() if text else []
+            lengths[k] = len(words)
+            values.extend(s if (s := get(w)) is not None else self.word(w) for w in words)
+        scores = np.frombuffer(values)
         starts = np.cumsum(lengths) - lengths
         p = marginals(scores, starts, lengths, self.model.stay)
         return [p[a:a + n] for a, n in zip(starts, lengths)]
@@ -277,7 +291,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
 
     rows = docs.select(id_col, text_col)
     schema = f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, score double, predicted int, spans array<struct<start:int,end:int>>"
-    return map_batches(rows, make, schema, 8 << 20)
+    return map_batches(rows, make, schema)
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -293,4 +307,4 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
 
         return step
 
-    return map_batches(docs, make, docs.schema, 8 << 20)
+    return map_batches(docs, make, docs.schema)
